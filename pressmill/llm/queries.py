@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, line_crf, mixing, near_dedup, token_output
+from . import decontaminate, line_crf, mixing, near_dedup, secret_scan, token_output, url_filter, warc
 
 TOKENIZER = "public:word_bpe_49k.json"
 
@@ -19,10 +19,22 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(_read(spark, sf_dir, "pages"), url_filter.rules_frame(spark))
+
+
 def op3_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.encode_documents(_read(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(_read(spark, sf_dir, "documents"))
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive(_read(spark, sf_dir, "pages"))
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -44,11 +56,14 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_url_filter": op2_url_filter,
     "op3_token_output": op3_token_output,
+    "op4_secret_scan": op4_secret_scan,
+    "op5_warc": op5_warc,
     "op8_mix_sources": op8_mix_sources,
     "op9_quality_rules": op9_quality_rules,
     "op10_near_dedup": op10_near_dedup,
     "pipeline": pipeline,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op2_url_filter": url_filter.ORACLE, "op5_warc": warc.ORACLE}
