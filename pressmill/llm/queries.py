@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, line_crf, mixing, near_dedup, secret_scan, token_output, url_filter, warc
+from . import decontaminate, lang_cnn, line_crf, mixing, near_dedup, quality_mil, secret_scan, token_output, url_filter, warc
 
 TOKENIZER = "public:word_bpe_49k.json"
 
@@ -35,6 +35,16 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive(_read(spark, sf_dir, "pages"))
 
 
+def op6_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _read(spark, sf_dir, "documents")
+    return quality_mil.score(documents, quality_mil.train(documents, _read(spark, sf_dir, "labels")))
+
+
+def op7_language_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _read(spark, sf_dir, "documents")
+    return lang_cnn.predict(documents, lang_cnn.train(documents))
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -60,6 +70,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_output": op3_token_output,
     "op4_secret_scan": op4_secret_scan,
     "op5_warc": op5_warc,
+    "op6_quality_mil": op6_quality_mil,
+    "op7_language_cnn": op7_language_cnn,
     "op8_mix_sources": op8_mix_sources,
     "op9_quality_rules": op9_quality_rules,
     "op10_near_dedup": op10_near_dedup,
