@@ -118,12 +118,12 @@ def log_softmax(z: np.ndarray) -> np.ndarray:
     return z - np.log(np.exp(z).sum(1, keepdims=True))
 
 
-def fit(x: np.ndarray, y: np.ndarray, names: list[str], rounds: int = 6, batch: int = 128, rate: float = 5e-3, seed: int = 3) -> ByteNet:
+def fit(x: np.ndarray, y: np.ndarray, names: list[str], steps: int = 450, batch: int = 128, rate: float = 5e-3, seed: int = 3) -> ByteNet:
     net, r = ByteNet.fresh(names, seed), np.random.default_rng(seed)
     m = {k: np.zeros_like(v) for k, v in net.p.items()}
     s = {k: np.zeros_like(v) for k, v in net.p.items()}
     step = 0
-    for _ in range(rounds):
+    while step < steps:
         order = r.permutation(len(x))
         for i in range(0, len(order), batch):
             pick = order[i : i + batch]

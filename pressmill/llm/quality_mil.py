@@ -115,13 +115,13 @@ class AttentionModel:
         return out
 
 
-def fit(x: np.ndarray, many: np.ndarray, y: np.ndarray, rounds: int = 12, batch: int = 64, rate: float = 4e-3, l2: float = 1e-4, seed: int = 1) -> AttentionModel:
+def fit(x: np.ndarray, many: np.ndarray, y: np.ndarray, steps: int = 800, batch: int = 64, rate: float = 4e-3, l2: float = 1e-4, seed: int = 1) -> AttentionModel:
     """Adam over bags in seeded order."""
     model, r = AttentionModel.fresh(x.shape[1], seed), np.random.default_rng(seed)
     m = {k: np.zeros_like(v) for k, v in model.p.items()}
     s = {k: np.zeros_like(v) for k, v in model.p.items()}
     first, step = np.concatenate(([0], np.cumsum(many))), 0
-    for _ in range(rounds):
+    while step < steps:
         order = r.permutation(len(many))
         for i in range(0, len(order), batch):
             pick = order[i : i + batch]
@@ -150,7 +150,7 @@ def train(documents: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -
                 bags.append(x[pick].astype(np.float16).tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bags, pa.binary())], ["quality", "bag"])
 
-    rows = documents.join(F.broadcast(some), "doc_id").select("quality", "text").mapInArrow(describe, f"quality {dict(labels.dtypes)['quality']}, bag binary").collect()
+    rows = documents.select("doc_id", "text").join(F.broadcast(some), "doc_id").select("quality", "text").mapInArrow(describe, f"quality {dict(labels.dtypes)['quality']}, bag binary").collect()
     if len({r.quality > 0 for r in rows}) < 2:
         return None
     rows.sort(key=lambda r: (r.quality, bytes(r.bag)))
