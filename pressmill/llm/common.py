@@ -35,11 +35,49 @@ def scratch_path(spark: SparkSession, tag: str) -> str:
     return f"{base.rstrip('/')}/pressmill/{tag}-{uuid.uuid4().hex}"
 
 
+class Scratch:
+    """Tables of one operator run, in one shared folder: written as Parquet and read back, which cuts lineage and survives lost executors. What is no longer read can be dropped."""
+
+    def __init__(self, spark: SparkSession, tag: str) -> None:
+        self.spark, self.base = spark, scratch_path(spark, tag)
+        self.paths: dict[int, tuple[DataFrame, str]] = {}
+        self.count = 0
+
+    def table(self, df: DataFrame, tag: str) -> DataFrame:
+        self.count += 1
+        path = f"{self.base}/{self.count:03d}-{tag}"
+        df.write.parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(out)] = (out, path)
+        return out
+
+    def drop(self, *tables: DataFrame | None) -> None:
+        """Delete tables of this scratch folder (others are left alone)."""
+        for t in tables:
+            if id(t) in self.paths:
+                delete(self.spark, self.paths.pop(id(t))[1])
+
+    def drop_all_but(self, *tables: DataFrame) -> None:
+        keep = {id(t) for t in tables}
+        self.drop(*[t for k, (t, _) in list(self.paths.items()) if k not in keep])
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def materialize(df: DataFrame, tag: str) -> DataFrame:
-    """Write df as Parquet in the shared scratch folder and read it back: cuts lineage and survives lost executors."""
-    spark, path = df.sparkSession, scratch_path(df.sparkSession, tag)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    """One table in a scratch folder of its own."""
+    return Scratch(df.sparkSession, tag).table(df, tag)
+
+
+def free_name(name: str, taken: list[str]) -> str:
+    """A column name that is not taken (case doesn't matter)."""
+    low = {t.lower() for t in taken}
+    while name.lower() in low:
+        name = f"_{name}"
+    return name
 
 
 def crc_mod(key: Column | str, n: int) -> Column:

@@ -9,8 +9,12 @@ coordinates are expected to be full (K ln K + 2K darts over the total weight); t
 
 Links: texts that agree on all ROWS values of one of BANDS bands are compared with the first text of that bucket
 (estimate from signatures, then the exact similarity from both texts). Buckets whose members are then in different
-classes are joined once more, but only between members of different classes, so no candidate pair is lost: each one is
-compared, or already in one class. Nothing is capped.
+classes are joined once more, but only between members of different classes and only where a link is possible: the
+shingles that no other text there has can't be shared, which bounds the similarity from the weights alone. So no
+candidate pair is lost: each one is compared, already in one class, or shown to be no link. Nothing is capped.
+
+Joins on texts, signatures and bands are sort-merge joins at every size: their sides grow with the corpus, and adaptive
+execution splits the skewed ones.
 
 Edge cases: byte-equal texts are exact copies and share one class, whatever their length (a text without words has no
 near copies); a null text is a class of its own; the class id is the smallest doc_id in the class. Rows without doc_id
@@ -141,7 +145,7 @@ def _agree(a: str, b: str) -> F.Column:
 
 
 def _checked(pairs: DataFrame, texts: DataFrame, similar: float) -> DataFrame:
-    """The pairs (u, v) whose exact similarity is at least `similar`. Skewed ids are left to adaptive joins: both sides are plain tables."""
+    """The pairs (u, v) whose exact similarity is at least `similar`. Both sides are plain tables, so adaptive joins can split a frequent id."""
 
     def check(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in frames:
@@ -153,8 +157,40 @@ def _checked(pairs: DataFrame, texts: DataFrame, similar: float) -> DataFrame:
                 keep[at] = weighted_jaccard(_bag(a), last[1]) >= similar
             yield part.loc[keep, ["u", "v"]]
 
-    left = pairs.join(texts.select(F.col("id").alias("u"), F.col("text").alias("a")), "u")
-    return left.join(texts.select(F.col("id").alias("v"), F.col("text").alias("b")), "v").select("u", "v", "a", "b").mapInPandas(check, "u long, v long")
+    left = pairs.join(texts.select(F.col("id").alias("u"), F.col("text").alias("a")).hint("merge"), "u")
+    return left.join(texts.select(F.col("id").alias("v"), F.col("text").alias("b")).hint("merge"), "v").select("u", "v", "a", "b").mapInPandas(check, "u long, v long")
+
+
+def _likely(pairs: DataFrame, sigs: DataFrame) -> DataFrame:
+    """The pairs (u, v) whose signatures agree on a share of at least ESTIMATE."""
+    both = pairs.join(sigs.select(F.col("id").alias("u"), F.col("sig").alias("a")).hint("merge"), "u").join(sigs.select(F.col("id").alias("v"), F.col("sig").alias("b")).hint("merge"), "v")
+    return both.where(_agree("a", "b") >= ESTIMATE).select("u", "v")
+
+
+def _own_weight(texts: DataFrame) -> DataFrame:
+    """(id, own): the weight of the shingles that no other one of `texts` has; ids without such a shingle are left out."""
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, data, offs in C.text_chunks(batches):
+            h, row, _ = shingles(data, offs)
+            order = np.lexsort((h, row))
+            h, row = h[order], row[order]
+            new = np.ones(len(h), bool)
+            new[1:] = (h[1:] != h[:-1]) | (row[1:] != row[:-1])
+            first = np.flatnonzero(new)
+            ids = np.asarray(batch.column(0))[row[first]]
+            yield pa.RecordBatch.from_arrays([pa.array(h[first].view(np.int64)), pa.array(ids), pa.array(np.diff(np.append(first, len(h))))], ["shingle", "id", "n"])
+
+    each = texts.select("id", "text").mapInArrow(spread, "shingle long, id long, n long")
+    own = each.groupBy("shingle").agg(F.count("*").alias("texts"), F.min("id").alias("id"), F.min("n").alias("n")).where("texts = 1")
+    return own.groupBy("id").agg(F.sum("n").alias("own"))
+
+
+def _bound(mine: str, other: str | F.Column, own: str) -> F.Column:
+    """The highest similarity of a text of weight `mine`, `own` of it in shingles that no other text has, with one of weight `other`."""
+    theirs = F.col(other) if isinstance(other, str) else other
+    common = F.least(F.col(mine) - F.col(own), theirs)
+    return common / (F.col(mine) + theirs - common)
 
 
 def _bag(text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -162,79 +198,86 @@ def _bag(text: str) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(shingles(raw, np.array([0, len(raw)]))[0], return_counts=True)
 
 
-def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+def components(nodes: DataFrame, edges: DataFrame, scratch: C.Scratch) -> DataFrame:
     """(id, label): the smallest id of each node's component. Labels go along the edges, then jump to their label's label; every round is a written table."""
-    both = edges.select(F.col("u").alias("s"), F.col("v").alias("d")).union(edges.select(F.col("v").alias("s"), F.col("u").alias("d")))
-    both = C.materialize(both, "edges")
-    labels = C.materialize(nodes.select("id", F.col("id").alias("label")), "labels")
+    both = scratch.table(edges.select(F.col("u").alias("s"), F.col("v").alias("d")).union(edges.select(F.col("v").alias("s"), F.col("u").alias("d"))), "edges")
+    labels = scratch.table(nodes.select("id", F.col("id").alias("label"), F.col("id").alias("was")), "labels")
     while True:
-        told = C.materialize(both.join(labels, both.s == labels.id).groupBy("d").agg(F.min("label").alias("heard")), "told")
+        told = scratch.table(both.join(labels.select("id", "label"), both.s == labels.id).groupBy("d").agg(F.min("label").alias("heard")), "told")
         near = labels.join(told, labels.id == told.d, "left").select("id", F.col("label").alias("was"), F.least("label", F.coalesce("heard", "label")).alias("label"))
-        near = C.materialize(near, "near")
+        near = scratch.table(near, "near")
         far = near.select(F.col("id").alias("label"), F.col("label").alias("further"))
-        after = C.materialize(near.join(far, "label").select("id", "was", F.least("label", "further").alias("label")), "labels")
-        moved = after.where("label != was").limit(1).count()
-        labels = after.select("id", "label")
-        if not moved:
+        after = scratch.table(near.join(far, "label").select("id", F.least("label", "further").alias("label"), "was"), "labels")
+        scratch.drop(labels, told, near)
+        labels = after
+        if not labels.where("label != was").limit(1).count():
+            scratch.drop(both)
             return labels
 
 
 def near_duplicates(documents: DataFrame, similar: float = SIMILAR) -> DataFrame:
     """One row of RESULT per document row."""
-    signed = C.materialize(_signed(documents), "signed")
+    scratch = C.Scratch(documents.sparkSession, "near_dedup")
+    signed = scratch.table(_signed(documents), "signed")
     known = signed.where("doc_id is not null and digest is not null")
-    texts = C.materialize(known.groupBy("digest").agg(F.min("doc_id").alias("id"), F.count("*").alias("copies")), "distinct")
-    # an id stands for one distinct text: rows that repeat a doc_id with another text are told apart by the digest
-    bands = (
-        known.where("weight > 0")
-        .dropDuplicates(["digest"])
-        .join(texts.select("digest", "id"), "digest")
-        .dropDuplicates(["id"])
-        .select("id", "sig", F.posexplode(F.array(*[F.xxhash64(F.slice("sig", b * ROWS + 1, ROWS), F.lit(b)) for b in range(BANDS)])).alias("band", "key"))
-        .select("id", "sig", "key")
-    )
-    firsts = bands.groupBy("key").agg(F.min("id").alias("v"), F.count("*").alias("n")).where("n > 1")
-    firsts = C.materialize(firsts, "buckets")
-    members = C.materialize(bands.join(firsts.select("key", "v"), "key").where("id is not null"), "members")
-    pivots = members.where("id = v").dropDuplicates(["v"]).select("v", F.col("sig").alias("pivot_sig"))
-    stars = members.where("id != v").join(C.materialize(pivots, "pivots"), "v").where(_agree("sig", "pivot_sig") >= ESTIMATE)
-    stars = C.materialize(stars.select(F.col("id").alias("u"), "v").distinct(), "stars")
-    some = C.materialize(members.select("id").distinct(), "ids")
-    want = C.materialize(stars.select(F.explode(F.array("u", "v")).alias("id")).distinct(), "want")
-    source = documents.select(F.col("doc_id").cast("long").alias("id"), "text")
-
-    def text_of(ids: DataFrame, tag: str) -> DataFrame:
-        digests = texts.join(ids, "id").select("id", "digest")
-        rows = source.where("text is not null").join(digests, "id").where(F.unhex(F.sha1("text")) == F.col("digest"))
-        return C.materialize(rows.select("id", "text").dropDuplicates(["id"]), tag)
-
-    edges = C.materialize(_checked(stars, text_of(want, "texts"), similar), "links")
-    labels = components(some, edges)
-    # buckets that still hold several classes: the remaining candidates are pairs across classes
-    placed = members.select("key", "id", "sig").join(labels, "id")
-    mixed = placed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high").select("key")
-    rest = C.materialize(placed.join(C.materialize(mixed, "mixed"), "key"), "rest")
-    other = rest.select("key", F.col("id").alias("v"), F.col("sig").alias("pivot_sig"), F.col("label").alias("label_v"))
-    across = rest.join(other, (rest.key == other.key) & (rest.label < other.label_v) & (_agree("sig", "pivot_sig") >= ESTIMATE)).select(F.col("id").alias("u"), "v").distinct()
-    across = C.materialize(across, "across")
-    if across.limit(1).count():
-        ids = across.select(F.explode(F.array("u", "v")).alias("id")).distinct()
-        more = C.materialize(_checked(across, text_of(ids, "texts"), similar), "links")
-        if more.limit(1).count():
-            labels = components(some, edges.union(more))
-    classes = texts.join(labels, "id", "left").select("digest", F.coalesce("label", "id").alias("class_id"), "copies")
-    sizes = classes.groupBy("class_id").agg(F.sum("copies").alias("class_size"))
-    placed = C.materialize(classes.select("digest", "class_id").join(sizes, "class_id"), "classes")
-    out = signed.select("doc_id", "digest").join(placed, "digest", "left")
-    alone = F.col("class_id").isNull() & F.col("doc_id").isNotNull()
-    return out.select("doc_id", F.when(alone, F.col("doc_id")).otherwise(F.when(F.col("doc_id").isNotNull(), F.col("class_id"))).alias("class_id"), F.when(alone, F.lit(1)).otherwise(F.col("class_size")).cast("long").alias("class_size"))
+    # each distinct text gets an id of its own; `first` is the smallest doc_id that has it
+    distinct = known.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"))
+    distinct = scratch.table(distinct.withColumn("id", F.monotonically_increasing_id()), "distinct")
+    sigs = known.where("weight > 0").select("digest", "sig", "weight", "doc_id").join(distinct.hint("merge"), "digest").where("doc_id = first").dropDuplicates(["id"]).select("id", "first", "sig", "weight")
+    sigs = scratch.table(sigs, "signatures")
+    # buckets of two and more, each with its member of smallest doc_id
+    keys = F.explode(F.array(*[F.xxhash64(F.slice("sig", b * ROWS + 1, ROWS), F.lit(b)) for b in range(BANDS)])).alias("key")
+    bands = sigs.select("id", "first", keys)
+    heads = bands.groupBy("key").agg(F.min(F.struct("first", "id")).alias("head"), F.count("*").alias("n")).where("n > 1")
+    heads = scratch.table(heads.select("key", F.col("head.id").alias("v")), "heads")
+    members = scratch.table(bands.select("id", "key").join(heads.hint("merge"), "key"), "members")
+    some = scratch.table(members.select("id").distinct(), "ids")
+    stars = scratch.table(members.where("id != v").select(F.col("id").alias("u"), "v").distinct(), "stars")
+    likely = scratch.table(_likely(stars, sigs), "likely")
+    # the texts of all bucket members, once
+    wanted = scratch.table(some.join(distinct, "id").select("id", F.col("first").alias("doc_id"), "digest"), "wanted")
+    source = documents.where("text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    texts = source.join(wanted.hint("merge"), "doc_id").where(F.unhex(F.sha1("text")) == F.col("digest")).select("id", "text").dropDuplicates(["id"])
+    texts = scratch.table(texts, "texts")
+    edges = scratch.table(_checked(likely, texts, similar), "links")
+    labels = components(some, edges, scratch)
+    scratch.drop(heads, stars, likely, wanted)
+    # buckets that still hold several classes: what is left to compare are pairs across classes, of texts that can have a link at all
+    placed = members.select("key", "id").join(labels.select("id", "label").hint("merge"), "id")
+    mixed = scratch.table(placed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high").select("key"), "mixed")
+    rest = scratch.table(placed.join(mixed, "key"), "rest")
+    rest_texts = scratch.table(texts.join(scratch.table(rest.select("id").distinct(), "rest_ids").hint("merge"), "id"), "rest_texts")
+    own = scratch.table(_own_weight(rest_texts), "own")
+    rest = rest.join(sigs.select("id", "weight"), "id").join(own, "id", "left").select("key", "id", "label", "weight", F.coalesce("own", F.lit(0)).alias("own"))
+    rest = scratch.table(rest, "rest_weighed")
+    least = scratch.table(rest.groupBy("key").agg(F.min("weight").alias("least")), "least")
+    able = rest.join(least, "key").where(_bound("weight", F.greatest("least", F.col("weight") * similar), "own") >= similar - 1e-9).drop("least")
+    able = scratch.table(able, "able")
+    mixed = scratch.table(able.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high").select("key"), "mixed")
+    able = scratch.table(able.join(mixed, "key").join(sigs.select("id", "sig"), "id"), "able_signed")
+    other = able.select("key", F.col("id").alias("v"), F.col("sig").alias("b"), F.col("label").alias("label_v"), F.col("weight").alias("weight_v"), F.col("own").alias("own_v"))
+    can = (_bound("weight", "weight_v", "own") >= similar - 1e-9) & (_bound("weight_v", "weight", "own_v") >= similar - 1e-9)
+    across = able.join(other, (able.key == other.key) & (able.label < other.label_v) & can & (_agree("sig", "b") >= ESTIMATE)).select(F.col("id").alias("u"), "v")
+    across = scratch.table(across.distinct(), "across")
+    more = scratch.table(_checked(across, rest_texts, similar), "links")
+    if more.limit(1).count():
+        labels = components(some, edges.union(more), scratch)
+    named = scratch.table(distinct.join(labels.select("id", "label"), "id", "left").select("digest", "first", "copies", F.coalesce("label", "id").alias("label")), "named")
+    groups = scratch.table(named.groupBy("label").agg(F.min("first").alias("class_id"), F.sum("copies").alias("class_size")), "groups")
+    classes = scratch.table(named.join(groups, "label").select("digest", "class_id", "class_size"), "classes")
+    found = signed.select("doc_id", "digest").join(classes, "digest", "left")
+    alone = F.col("class_id").isNull() | F.col("doc_id").isNull()  # a null text; a row without an id, even if its text has a class
+    out = found.select("doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.when(alone & F.col("doc_id").isNotNull(), F.lit(1)).when(F.col("doc_id").isNotNull(), F.col("class_size")).cast("long").alias("class_size"))
+    out = scratch.table(out, "result")
+    scratch.drop_all_but(out)
+    return out
 
 
 def first_of_each(documents: DataFrame, similar: float = SIMILAR) -> DataFrame:
     """The rows of documents with one row left of each class (that of smallest doc_id), with all their columns; null texts and null ids stay."""
     found = near_duplicates(documents, similar)
     gone = C.materialize(found.where("class_id != doc_id").select("doc_id").distinct(), "gone")
-    kept = documents.join(gone, "doc_id", "left_anti")
+    kept = documents.join(gone.hint("merge"), "doc_id", "left_anti")
     twice = documents.where("doc_id is not null and text is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
     if not twice.limit(1).count():
         return kept
