@@ -42,7 +42,7 @@ PERCENTILE = 0.98  # an exception takes 48 bits, so a bit of width pays when ove
 SEGMENT_TOKENS = 1 << 20
 SEGMENTS_PER_FILE = 32
 END_ID = 1
-REMEMBERED = 1_000_000
+REMEMBERED = 500_000
 
 _HEAD = struct.Struct("<4sIIQQIIQ")
 
@@ -293,13 +293,14 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
 def documents_of(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document in the files at `path`. Segments are summed by task first, so the running sum over all data has one row per task."""
-    rows = C.materialize(read(spark, path), "decoded")
+    scratch = C.Scratch(spark, "tokens")
+    rows = scratch.table(read(spark, path), "decoded")
     segments = rows.groupBy("task", "number").agg(F.sum("n_tokens").alias("ids"))
     within = Window.partitionBy("task").orderBy("number").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     tasks = segments.groupBy("task").agg(F.sum("ids").alias("all_ids"))
     before = tasks.withColumn("base", F.sum("all_ids").over(Window.orderBy("task").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("all_ids"))
     starts = segments.withColumn("lead_in", F.sum("ids").over(within) - F.col("ids")).join(before, "task").select("task", "number", (F.col("lead_in") + F.col("base")).alias("begin"))
-    return rows.join(C.materialize(starts, "starts"), ["task", "number"]).select("doc_id", (F.col("begin") + F.col("first")).alias("start"), "n_tokens", "ids_crc32")
+    return rows.join(scratch.table(starts, "starts"), ["task", "number"]).select("doc_id", (F.col("begin") + F.col("first")).alias("start"), "n_tokens", "ids_crc32")
 
 
 def encode_documents(documents: DataFrame, tokenizer: str, path: str | None = None) -> DataFrame:
