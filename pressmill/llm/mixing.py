@@ -132,10 +132,10 @@ def apply_mix(documents: DataFrame, **options: int) -> DataFrame:
     times = times.groupBy("doc_id", "text_key", "s").agg(F.sum("times").alias("times"), F.count("*").alias("n"))
     times = C.materialize(times, "copies")
     cols = documents.columns
-    keyed = documents.withColumn("_key", F.xxhash64("text")).withColumn("_s", F.col("source").cast("string"))
-    t = times.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_k"), F.col("s").alias("_t"), "times", F.col("n").alias("_n"))
-    repeated = times.where("n > 1").limit(1).count() > 0
-    on = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_k")) & F.col("_s").eqNullSafe(F.col("_t"))
-    if repeated:
-        keyed = keyed.dropDuplicates(["doc_id", "_key", "_s"])
-    return keyed.join(t, on).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))).select(*cols)
+    new = {n: C.free_name(n, cols) for n in ("key", "owner", "id", "k", "o", "times", "copy")}
+    keyed = documents.withColumn(new["key"], F.xxhash64("text")).withColumn(new["owner"], F.col("source").cast("string"))
+    t = times.select(F.col("doc_id").alias(new["id"]), F.col("text_key").alias(new["k"]), F.col("s").alias(new["o"]), F.col("times").alias(new["times"]))
+    if times.where("n > 1").limit(1).count():
+        keyed = keyed.dropDuplicates(["doc_id", new["key"], new["owner"]])
+    on = F.col("doc_id").eqNullSafe(F.col(new["id"])) & F.col(new["key"]).eqNullSafe(F.col(new["k"])) & F.col(new["owner"]).eqNullSafe(F.col(new["o"]))
+    return keyed.join(t.hint("merge"), on).withColumn(new["copy"], F.explode(F.sequence(F.lit(1), F.col(new["times"]).cast("int")))).select(*[F.col(f"`{c}`") for c in cols])
