@@ -18,13 +18,13 @@ def _orders(spark, d):
 
 def _pivot(how):
     def query(spark, d):
-        return metrics.metric_pivot(_orders(spark, d), "o_orderpriority", "o_orderstatus", "o_totalprice", how, ["F", "O", "P"])
+        return metrics.metric_pivot(_orders(spark, d), "o_orderpriority", "o_orderstatus", "o_totalprice", how, ["F", "O", "P"], 3)
 
     return query
 
 
 def _pivot_sql(fn):
-    cells = ", ".join(f"round({fn}(o_totalprice) FILTER (WHERE o_orderstatus = '{k}'), 2) AS \"{k}\"" for k in "FOP")
+    cells = ", ".join(f"round({fn}(o_totalprice) FILTER (WHERE o_orderstatus = '{k}'), 3) AS \"{k}\"" for k in "FOP")
     return f"SELECT o_orderpriority, {cells} FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY o_orderpriority"
 
 
@@ -33,10 +33,10 @@ METRIC_PIVOT_MEAN, METRIC_PIVOT_MEDIAN, METRIC_PIVOT_STD = _pivot_sql("avg"), _p
 
 
 def group_mean_median(spark, d):
-    return metrics.mean_median(_orders(spark, d), ["c_mktsegment", "o_orderstatus"], "o_totalprice")
+    return metrics.mean_median(_orders(spark, d), ["c_mktsegment", "o_orderstatus"], "o_totalprice", 3)
 
 
-GROUP_MEAN_MEDIAN = "SELECT c_mktsegment, o_orderstatus, round(avg(o_totalprice), 2) AS o_totalprice_mean, round(median(o_totalprice), 2) AS o_totalprice_median FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL"
+GROUP_MEAN_MEDIAN = "SELECT c_mktsegment, o_orderstatus, round(avg(o_totalprice), 3) AS o_totalprice_mean, round(median(o_totalprice), 3) AS o_totalprice_median FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL"
 
 
 def grouped_mape(spark, d):
@@ -131,8 +131,8 @@ def cosine_matrix(spark, d):
     return corpus.similarity_matrix(means, "label", "embedding").select("a", "b", F.round("similarity", 5).alias("similarity"), F.round("distance", 5).alias("distance"))
 
 
-COSINE_MATRIX = """WITH e AS (SELECT label, unnest(embedding)::DOUBLE AS v, unnest(range(0, len(embedding))) AS at FROM embeddings), m AS (SELECT label, at, avg(v) AS v FROM e GROUP BY ALL),
-d AS (SELECT x.label AS a, y.label AS b, sum(x.v * y.v) AS dot FROM m x JOIN m y ON x.at = y.at GROUP BY ALL)
+COSINE_MATRIX = """WITH e AS (SELECT label, unnest(embedding)::DOUBLE AS v, unnest(range(0, len(embedding))) AS pos FROM embeddings), m AS (SELECT label, pos, avg(v) AS v FROM e GROUP BY ALL),
+d AS (SELECT x.label AS a, y.label AS b, sum(x.v * y.v) AS dot FROM m x JOIN m y ON x.pos = y.pos GROUP BY ALL)
 SELECT d.a, d.b, round(d.dot / sqrt(p.dot) / sqrt(q.dot), 5) AS similarity, round(1 - d.dot / sqrt(p.dot) / sqrt(q.dot), 5) AS distance FROM d JOIN d p ON p.a = d.a AND p.b = d.a JOIN d q ON q.a = d.b AND q.b = d.b"""
 
 

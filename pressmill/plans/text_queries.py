@@ -13,10 +13,10 @@ from ..sources.io import table
 DOC_TITLE = "upper(content) = content AND length(regexp_replace(content, '[^A-Z]', '', 'g')) >= 5 AND length(regexp_replace(content, '[^AEIOU]', '', 'g')) >= 2"
 
 PARTS_SQL = """parts AS (
-  SELECT doc_id, at, regexp_replace(part, '^\\s+|\\s+$', '', 'g') AS content FROM (
-    SELECT doc_id, unnest(string_split(text, chr(10))) AS part, unnest(range(0, len(string_split(text, chr(10))))) AS at FROM documents)
+  SELECT doc_id, pos, regexp_replace(part, '^\\s+|\\s+$', '', 'g') AS content FROM (
+    SELECT doc_id, unnest(string_split(text, chr(10))) AS part, unnest(range(0, len(string_split(text, chr(10))))) AS pos FROM documents)
 ), filled AS (
-  SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY at) AS INTEGER) AS sub_order, content FROM parts WHERE content <> ''
+  SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS INTEGER) AS sub_order, content FROM parts WHERE content <> ''
 ), titled AS (SELECT *, CASE WHEN """ + DOC_TITLE + """ THEN 'title' ELSE 'text' END AS class FROM filled)"""
 
 ASCII = "[^\\x00-\\x7F]"
