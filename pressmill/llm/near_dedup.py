@@ -217,6 +217,11 @@ def components(nodes: DataFrame, edges: DataFrame, scratch: C.Scratch) -> DataFr
 
 def near_duplicates(documents: DataFrame, similar: float = SIMILAR) -> DataFrame:
     """One row of RESULT per document row."""
+    return _classified(documents, similar).drop("digest")
+
+
+def _classified(documents: DataFrame, similar: float) -> DataFrame:
+    """RESULT and the digest of the text."""
     scratch = C.Scratch(documents.sparkSession, "near_dedup")
     signed = scratch.table(_signed(documents), "signed")
     known = signed.where("doc_id is not null and digest is not null")
@@ -267,7 +272,7 @@ def near_duplicates(documents: DataFrame, similar: float = SIMILAR) -> DataFrame
     classes = scratch.table(named.join(groups, "label").select("digest", "class_id", "class_size"), "classes")
     found = signed.select("doc_id", "digest").join(classes, "digest", "left")
     alone = F.col("class_id").isNull() | F.col("doc_id").isNull()  # a null text; a row without an id, even if its text has a class
-    out = found.select("doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.when(alone & F.col("doc_id").isNotNull(), F.lit(1)).when(F.col("doc_id").isNotNull(), F.col("class_size")).cast("long").alias("class_size"))
+    out = found.select("doc_id", "digest", F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.when(alone & F.col("doc_id").isNotNull(), F.lit(1)).when(F.col("doc_id").isNotNull(), F.col("class_size")).cast("long").alias("class_size"))
     out = scratch.table(out, "result")
     scratch.drop_all_but(out)
     return out
@@ -275,12 +280,16 @@ def near_duplicates(documents: DataFrame, similar: float = SIMILAR) -> DataFrame
 
 def first_of_each(documents: DataFrame, similar: float = SIMILAR) -> DataFrame:
     """The rows of documents with one row left of each class (that of smallest doc_id), with all their columns; null texts and null ids stay."""
-    found = near_duplicates(documents, similar)
-    gone = C.materialize(found.where("class_id != doc_id").select("doc_id").distinct(), "gone")
-    kept = documents.join(gone.hint("merge"), "doc_id", "left_anti")
-    twice = documents.where("doc_id is not null and text is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    if not twice.limit(1).count():
-        return kept
-    twice = C.materialize(twice, "twice")
+    found = _classified(documents, similar)
     cols = documents.columns
-    return kept.join(twice, "doc_id", "left_anti").select(cols).union(kept.join(twice, "doc_id", "left_semi").select(cols).dropDuplicates(["doc_id"]))
+    key, gone_id, gone_digest = (C.free_name(n, cols) for n in ("digest", "gone_id", "gone_digest"))
+    known = found.where("doc_id is not null and digest is not null")
+    # a class's first doc_id may have texts of its own in other classes, so rows are told apart by both
+    gone = C.materialize(known.where("class_id != doc_id").select(F.col("doc_id").alias(gone_id), F.col("digest").alias(gone_digest)).distinct(), "gone")
+    keyed = documents.withColumn(key, F.unhex(F.sha1("text")))
+    kept = keyed.join(gone.hint("merge"), (F.col("doc_id") == F.col(gone_id)) & (F.col(key) == F.col(gone_digest)), "left_anti")
+    twice = C.materialize(known.groupBy("doc_id", "digest").count().where("count > 1").select(F.col("doc_id").alias(gone_id), F.col("digest").alias(gone_digest)), "twice")
+    if twice.limit(1).count():
+        same = (F.col("doc_id") == F.col(gone_id)) & (F.col(key) == F.col(gone_digest))
+        kept = kept.join(twice, same, "left_anti").unionByName(kept.join(twice, same, "left_semi").dropDuplicates(["doc_id", key]))
+    return kept.select(*[F.col(f"`{c}`") for c in cols])
