@@ -78,4 +78,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": pipeline,
 }
 
-ORACLE_SQL: dict[str, str] = {"op2_url_filter": url_filter.ORACLE, "op5_warc": warc.ORACLE}
+ORACLE_SQL: dict[str, str] = {"op2_url_filter": url_filter.ORACLE, "op4_secret_scan": secret_scan.oracle(), "op5_warc": warc.ORACLE}

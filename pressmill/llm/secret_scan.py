@@ -90,3 +90,26 @@ def scan(documents: DataFrame, owner: str = "source", repository: str = "doc_id"
     spans_text = F.coalesce(joined(F.col("all")), F.lit(""))
     base_text = F.coalesce(joined(F.filter("all", lambda s: s["rank"] < len(BASE))), F.lit(""))
     return out.select("doc_id", nothing("n_assign"), nothing("n_access"), nothing("n_hex"), F.sha2(base_text, 256).alias("base_sha256"), spans_text.alias("spans"), nothing("n_live"), nothing("n_example"), "owners_least")
+
+
+def oracle() -> str:
+    """The same rows in DuckDB: matches and the texts between them give the places."""
+    quoted = lambda t: "'" + t.replace("'", "''") + "'"
+    each = " UNION ALL ".join(f"SELECT rid, source, {k} AS rank, {quoted(kind)} AS kind, {least} AS least, regexp_extract_all(t, {quoted(p)}) AS hits, regexp_split_to_array(t, {quoted(p)}) AS gaps FROM d" for k, (kind, p, least) in enumerate(KINDS))
+    base = len(BASE)
+    listed = lambda only: f"coalesce(string_agg(told, ',' ORDER BY start, rank, stop){only}, '')"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS t FROM documents),
+m AS ({each}),
+u AS (SELECT rid, source, rank, kind, least, hits, gaps, unnest(range(1, len(hits) + 1)) AS i FROM m),
+p AS (SELECT rid, source, rank, kind, least, hits[i] AS hit, CAST(list_sum(list_transform(gaps[1:i], lambda g: length(g))) + coalesce(list_sum(list_transform(hits[1:i-1], lambda h: length(h))), 0) AS BIGINT) AS start FROM u),
+v AS (SELECT *, start + length(hit) AS stop, CASE WHEN rank = 0 THEN regexp_extract(hit, {quoted(ASSIGN)}, 2) ELSE hit END AS value FROM p),
+c AS (SELECT *, len(list_distinct(string_split(value, ''))) >= {LIVE_CHARS} AND regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]') AS random, kind || ':' || start || ':' || stop AS told FROM v WHERE length(value) >= least),
+o AS (SELECT value, count(DISTINCT source) AS owners FROM c GROUP BY value),
+l AS (SELECT c.*, owners, CASE WHEN owners >= {EXAMPLE_OWNERS} THEN 'example' WHEN random THEN 'live' ELSE 'weak' END AS label FROM c JOIN o USING (value)),
+k AS (SELECT * FROM l WHERE rank < {base} OR label = 'live'),
+g AS (SELECT rid, {listed("")} AS spans, {listed(f" FILTER (WHERE rank < {base})")} AS base, count(*) FILTER (WHERE rank = 0) AS n_assign, count(*) FILTER (WHERE rank = 1) AS n_access, count(*) FILTER (WHERE rank = 2) AS n_hex,
+  count(*) FILTER (WHERE label = 'live') AS n_live, count(*) FILTER (WHERE label = 'example') AS n_example, min(owners) AS owners_least FROM k GROUP BY rid)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example, owners_least
+FROM d LEFT JOIN g USING (rid)
+"""
