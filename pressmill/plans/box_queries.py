@@ -112,11 +112,11 @@ ADJUST_EDGES = f"WITH {ADJUSTED} SELECT {K}, page_id, round(x1, 6) AS x1, round(
 
 
 def fill_column_gaps(spark, d):
-    some = _adjusted(spark, d).where("page_id % 3 = 0 and not (class = 'title' and column_number = 0)").withColumn("page_block", F.lit(0))
+    some = _adjusted(spark, d).where("not (class = 'title' and column_number = 0)").withColumn("page_block", F.lit(0))
     return B.fill_column_gaps(some).where("reading_order = -1").select("page_id", "column_number", "class", *_near("x1", "y1", "x2", "y2"))
 
 
-FILL_COLUMN_GAPS = f"""WITH {ADJUSTED}, part AS (SELECT *, max(column_number) OVER (PARTITION BY page_id) AS cols, min(y1) OVER (PARTITION BY page_id) AS top, max(y2) OVER (PARTITION BY page_id) AS bottom FROM adjusted WHERE page_id % 3 = 0 AND NOT (class = 'title' AND column_number = 0)),
+FILL_COLUMN_GAPS = f"""WITH {ADJUSTED}, part AS (SELECT *, max(column_number) OVER (PARTITION BY page_id) AS cols, min(y1) OVER (PARTITION BY page_id) AS top, max(y2) OVER (PARTITION BY page_id) AS bottom FROM adjusted WHERE NOT (class = 'title' AND column_number = 0)),
 ends AS (SELECT page_id, column_number, top, bottom, arg_min(y1, reading_order) AS a_y1, arg_min(x1, reading_order) AS a_x1, arg_min(x2, reading_order) AS a_x2, arg_max(y2, reading_order) AS z_y2, arg_max(x1, reading_order) AS z_x1, arg_max(x2, reading_order) AS z_x2 FROM part WHERE cols > 1 AND column_number > 0 GROUP BY ALL)
 SELECT page_id, column_number, 'text' AS class, round(a_x1, 6) AS x1, round(top, 6) AS y1, round(a_x2, 6) AS x2, round(a_y1, 6) AS y2 FROM ends WHERE a_y1 > top
 UNION ALL SELECT page_id, column_number, 'text', round(z_x1, 6), round(z_y2, 6), round(z_x2, 6), round(bottom, 6) FROM ends WHERE z_y2 < bottom"""
