@@ -137,3 +137,8 @@ def cache_key(model: Column, max_tokens: Column, temperature: Column, prompt: Co
     """SHA-256 of the request's settings joined by bars, followed by the image's bytes."""
     settings = F.concat_ws("|", model, max_tokens.cast("string"), temperature.cast("string"), prompt)
     return F.sha2(F.concat(F.encode(settings, "UTF-8"), content), 256)
+
+
+def first_tokens(text: Column, n: int) -> Column:
+    """The first n white-space tokens."""
+    return F.array_join(F.slice(words(text), 1, n), " ")
