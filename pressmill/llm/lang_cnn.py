@@ -137,8 +137,8 @@ def fit(x: np.ndarray, y: np.ndarray, names: list[str], steps: int = 450, batch:
 
 def train(documents: DataFrame, max_train: int = MAX_TRAIN) -> ByteNet | None:
     """Fit on a bounded sample of the labelled texts outside the held-out fold."""
-    known = documents.where("lang is not null and doc_id is not null and text is not null").where(C.crc_mod("doc_id", 5) != 0)
-    ids = known.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train).distinct()
+    known = documents.where("lang is not null and doc_id is not null").where(C.crc_mod("doc_id", 5) != 0)
+    ids = C.smallest_by_hash(known.select("doc_id"), F.xxhash64("doc_id"), max_train).distinct()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, _, _ in C.text_chunks(batches):
@@ -150,7 +150,7 @@ def train(documents: DataFrame, max_train: int = MAX_TRAIN) -> ByteNet | None:
                 out.append(x[pick[letters[pick] > 0]].tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["lang", "x"])
 
-    rows = known.join(F.broadcast(ids), "doc_id").select("lang", "text").mapInArrow(cut, "lang string, x binary").collect()
+    rows = known.where("text is not null").join(F.broadcast(ids), "doc_id").select("lang", "text").mapInArrow(cut, "lang string, x binary").collect()
     rows = sorted((r for r in rows if len(r.x)), key=lambda r: (r.lang, bytes(r.x)))
     if not rows:
         return None

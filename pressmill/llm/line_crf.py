@@ -195,7 +195,8 @@ def fit(x: np.ndarray, y: np.ndarray, lines: np.ndarray, rounds: int = 120, rate
 
 def train(documents: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Chain | None:
     """Fit the chain on a bounded sample: the max_train labelled doc_ids of smallest hash."""
-    some = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.max("quality").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train)
+    known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.max("quality").alias("quality"))
+    some = C.smallest_by_hash(known, F.xxhash64("doc_id"), max_train)
 
     def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offs in C.text_chunks(batches):

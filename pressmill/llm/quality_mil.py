@@ -138,7 +138,7 @@ def fit(x: np.ndarray, many: np.ndarray, y: np.ndarray, steps: int = 800, batch:
 def train(documents: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> AttentionModel | None:
     """Fit on a bounded sample of the labelled documents outside the held-out fold."""
     known = labels.where("doc_id is not null and quality is not null").where(C.crc_mod("doc_id", 3) != 1)
-    some = known.groupBy("doc_id").agg(F.max("quality").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train)
+    some = C.smallest_by_hash(known.groupBy("doc_id").agg(F.max("quality").alias("quality")), F.xxhash64("doc_id"), max_train)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offs in C.text_chunks(batches):

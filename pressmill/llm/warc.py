@@ -113,7 +113,7 @@ def write(pages: DataFrame, path: str, least_bytes: int = 0, file_bytes: int = F
     """Archive all pages in files under `path`."""
     source = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce(F.encode("html", "UTF-8"), F.lit(b"")).alias("payload"))
     firsts = _first_of_digest(source, least_bytes)
-    sample = source.select(F.substring("payload", 1, SAMPLE_BYTES).alias("payload"), F.xxhash64("page_id", "payload").alias("h")).orderBy("h").limit(SAMPLES).collect()
+    sample = C.smallest_by_hash(source.select(F.substring("payload", 1, SAMPLE_BYTES).alias("payload"), F.xxhash64("page_id", "url").alias("h")), F.col("h"), SAMPLES).collect()
     raw = train_dictionary([record(None, None, bytes(r.payload), None) for r in sorted(sample, key=lambda r: (r.h, bytes(r.payload)))])
     shared = pages.sparkSession.sparkContext.broadcast(raw)  # at most DICT_BYTES
 
