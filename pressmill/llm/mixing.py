@@ -7,8 +7,8 @@ by hash into shards of about `shard_rows` rows, and the source's blocks go to it
 shards' words. A shard lays its documents end to end in a seeded order and cuts this stream into blocks; a quota of q
 blocks out of B takes every block q div B times and q mod B blocks, from a seeded block on, once more.
 
-The two apportionments run on the driver over one small row per source and per shard (one per `shard_rows` documents);
-everything else is windows and joins on (source, shard), whose groups are bounded by shard_rows.
+The two apportionments run on the driver over one small row per source and per shard; a shard holds shard_rows documents,
+or more where there would be over MAX_SHARDS shards. Everything else is windows and joins on (source, shard).
 
 Edge cases: a null text has size 0; rows of size 0 take nothing; null is a source of its own; null doc_ids take part;
 repeated rows are separate rows in a stable order; a source of no words gets no block; an empty table gives an empty
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from . import common as C
 
 BLOCK_WORDS = 16
-SHARD_ROWS = 20_000
+SHARD_ROWS, MAX_SHARDS = 4_000, 200_000
 CAP = 3
 SEED = 20260101
 
@@ -104,6 +104,7 @@ def mix(documents: DataFrame, block_words: int = BLOCK_WORDS, shard_rows: int =
     sized = documents.select("doc_id", F.col("source").cast("string").alias("source"), F.when(F.col("text").isNull(), 0).otherwise(F.regexp_count("text", F.lit(C.WORD))).cast("long").alias("size"), F.xxhash64("text").alias("text_key"))
     sized = C.materialize(sized, "sized")
     rows = sized.groupBy("source").count().collect()
+    shard_rows = max(shard_rows, sum(r["count"] for r in rows) // MAX_SHARDS)
     deal = {r["source"]: max(1, -(-r["count"] // shard_rows)) for r in rows}
     if not deal:
         return sized.select("doc_id", "source", "size", F.col("size").alias("source_size"), F.lit(0.0).alias("target"), F.col("size").alias("taken"), "text_key")
