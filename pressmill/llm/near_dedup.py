@@ -7,11 +7,12 @@ dart carries a coordinate in 0..K-1. The earliest dart of each coordinate is the
 coordinate with probability equal to their weighted Jaccard similarity. Darts are thrown up to a time at which the K
 coordinates are expected to be full (K ln K + 2K darts over the total weight); texts with an empty coordinate go on.
 
-Links: texts that agree on all ROWS values of one of BANDS bands are compared with the first text of that bucket
-(estimate from signatures, then the exact similarity from both texts). Buckets whose members are then in different
-classes are joined once more, but only between members of different classes and only where a link is possible: the
-shingles that no other text there has can't be shared, which bounds the similarity from the weights alone. So no
-candidate pair is lost: each one is compared, already in one class, or shown to be no link. Nothing is capped.
+Links: texts that agree on all ROWS values of one of BANDS bands share a bucket. Each is compared with the first of all
+its buckets' first texts (estimate from signatures, then the exact similarity from both texts). Buckets whose members are then in different
+classes are joined once more, but only between members of different classes and only where a link is possible. Shingles
+that at most RARE of the texts there have are looked at by themselves: texts that share one are compared, and for all
+others none of these shingles is shared, which bounds the similarity from the weights alone. So no candidate pair is
+lost: each one is compared, already in one class, or shown to be no link. Nothing is capped.
 
 Joins on texts, signatures and bands are sort-merge joins at every size: their sides grow with the corpus, and adaptive
 execution splits the skewed ones.
@@ -37,6 +38,7 @@ SHINGLE = 5
 SIMILAR = 0.8
 BANDS, ROWS = 20, 5
 K = BANDS * ROWS
+RARE = 4
 ESTIMATE = 0.6  # five standard errors of K coordinates below SIMILAR
 
 RESULT = "doc_id long, class_id long, class_size long"
@@ -167,8 +169,8 @@ def _likely(pairs: DataFrame, sigs: DataFrame) -> DataFrame:
     return both.where(_agree("a", "b") >= ESTIMATE).select("u", "v")
 
 
-def _own_weight(texts: DataFrame) -> DataFrame:
-    """(id, own): the weight of the shingles that no other one of `texts` has; ids without such a shingle are left out."""
+def _spread(texts: DataFrame) -> DataFrame:
+    """(shingle, id, n): each text's distinct shingles and their weights."""
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offs in C.text_chunks(batches):
@@ -181,13 +183,17 @@ def _own_weight(texts: DataFrame) -> DataFrame:
             ids = np.asarray(batch.column(0))[row[first]]
             yield pa.RecordBatch.from_arrays([pa.array(h[first].view(np.int64)), pa.array(ids), pa.array(np.diff(np.append(first, len(h))))], ["shingle", "id", "n"])
 
-    each = texts.select("id", "text").mapInArrow(spread, "shingle long, id long, n long")
-    own = each.groupBy("shingle").agg(F.count("*").alias("texts"), F.min("id").alias("id"), F.min("n").alias("n")).where("texts = 1")
-    return own.groupBy("id").agg(F.sum("n").alias("own"))
+    return texts.select("id", "text").mapInArrow(spread, "shingle long, id long, n long")
+
+
+def _same_band(a: str, b: str) -> F.Column:
+    """The first band in which two signatures agree, from 0."""
+    part = lambda c, k: F.slice(c, k * ROWS + 1, ROWS)
+    return F.array_position(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda k: part(a, k) == part(b, k)), True) - 1
 
 
 def _bound(mine: str, other: str | F.Column, own: str) -> F.Column:
-    """The highest similarity of a text of weight `mine`, `own` of it in shingles that no other text has, with one of weight `other`."""
+    """The highest similarity of a text of weight `mine` with one of weight `other` that has none of a part of weight `own` of its shingles."""
     theirs = F.col(other) if isinstance(other, str) else other
     common = F.least(F.col(mine) - F.col(own), theirs)
     return common / (F.col(mine) + theirs - common)
@@ -230,14 +236,15 @@ def _classified(documents: DataFrame, similar: float) -> DataFrame:
     distinct = scratch.table(distinct.withColumn("id", F.monotonically_increasing_id()), "distinct")
     sigs = known.where("weight > 0").select("digest", "sig", "weight", "doc_id").join(distinct.hint("merge"), "digest").where("doc_id = first").dropDuplicates(["id"]).select("id", "first", "sig", "weight")
     sigs = scratch.table(sigs, "signatures")
-    # buckets of two and more, each with its member of smallest doc_id
-    keys = F.explode(F.array(*[F.xxhash64(F.slice("sig", b * ROWS + 1, ROWS), F.lit(b)) for b in range(BANDS)])).alias("key")
+    # buckets of two and more, each with its member of smallest doc_id, the head; a text is compared with its first head
+    keys = F.posexplode(F.array(*[F.xxhash64(F.slice("sig", b * ROWS + 1, ROWS), F.lit(b)) for b in range(BANDS)])).alias("band", "key")
     bands = sigs.select("id", "first", keys)
     heads = bands.groupBy("key").agg(F.min(F.struct("first", "id")).alias("head"), F.count("*").alias("n")).where("n > 1")
-    heads = scratch.table(heads.select("key", F.col("head.id").alias("v")), "heads")
-    members = scratch.table(bands.select("id", "key").join(heads.hint("merge"), "key"), "members")
+    heads = scratch.table(heads.select("key", "head"), "heads")
+    members = scratch.table(bands.select("id", "band", "key").join(heads.hint("merge"), "key"), "members")
     some = scratch.table(members.select("id").distinct(), "ids")
-    stars = scratch.table(members.where("id != v").select(F.col("id").alias("u"), "v").distinct(), "stars")
+    stars = members.where("id != head.id").groupBy("id").agg(F.min("head").alias("head")).select(F.col("id").alias("u"), F.col("head.id").alias("v"))
+    stars = scratch.table(stars, "stars")
     likely = scratch.table(_likely(stars, sigs), "likely")
     # the texts of all bucket members, once
     wanted = scratch.table(some.join(distinct, "id").select("id", F.col("first").alias("doc_id"), "digest"), "wanted")
@@ -248,12 +255,14 @@ def _classified(documents: DataFrame, similar: float) -> DataFrame:
     labels = components(some, edges, scratch)
     scratch.drop(heads, stars, likely, wanted)
     # buckets that still hold several classes: what is left to compare are pairs across classes, of texts that can have a link at all
-    placed = members.select("key", "id").join(labels.select("id", "label").hint("merge"), "id")
+    placed = members.select("key", "band", "id").join(labels.select("id", "label").hint("merge"), "id")
     mixed = scratch.table(placed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high").select("key"), "mixed")
     rest = scratch.table(placed.join(mixed, "key"), "rest")
     rest_texts = scratch.table(texts.join(scratch.table(rest.select("id").distinct(), "rest_ids").hint("merge"), "id"), "rest_texts")
-    own = scratch.table(_own_weight(rest_texts), "own")
-    rest = rest.join(sigs.select("id", "weight"), "id").join(own, "id", "left").select("key", "id", "label", "weight", F.coalesce("own", F.lit(0)).alias("own"))
+    counts = scratch.table(_spread(rest_texts).groupBy("shingle").agg(F.count("*").alias("texts")).where(F.col("texts") <= RARE), "rare")
+    rare = scratch.table(_spread(rest_texts).join(counts.hint("merge"), "shingle"), "rare_in")
+    own = scratch.table(rare.groupBy("id").agg(F.sum("n").alias("own")), "own")
+    rest = rest.join(sigs.select("id", "weight"), "id").join(own, "id", "left").select("key", "band", "id", "label", "weight", F.coalesce("own", F.lit(0)).alias("own"))
     rest = scratch.table(rest, "rest_weighed")
     least = scratch.table(rest.groupBy("key").agg(F.min("weight").alias("least")), "least")
     able = rest.join(least, "key").where(_bound("weight", F.greatest("least", F.col("weight") * similar), "own") >= similar - 1e-9).drop("least")
@@ -262,11 +271,20 @@ def _classified(documents: DataFrame, similar: float) -> DataFrame:
     able = scratch.table(able.join(mixed, "key").join(sigs.select("id", "sig"), "id"), "able_signed")
     other = able.select("key", F.col("id").alias("v"), F.col("sig").alias("b"), F.col("label").alias("label_v"), F.col("weight").alias("weight_v"), F.col("own").alias("own_v"))
     can = (_bound("weight", "weight_v", "own") >= similar - 1e-9) & (_bound("weight_v", "weight", "own_v") >= similar - 1e-9)
-    across = able.join(other, (able.key == other.key) & (able.label < other.label_v) & can & (_agree("sig", "b") >= ESTIMATE)).select(F.col("id").alias("u"), "v")
-    across = scratch.table(across.distinct(), "across")
+    across = able.join(other, (able.key == other.key) & (able.label < other.label_v) & can & (_agree("sig", "b") >= ESTIMATE) & (_same_band("sig", "b") == able.band)).select(F.col("id").alias("u"), "v")
+    shared = rare.where("texts > 1").select("shingle", F.col("id").alias("u"))
+    beside = shared.join(shared.select("shingle", F.col("u").alias("v")), "shingle").where("u < v").select("u", "v").distinct()
+    apart = labels.select(F.col("id").alias("u"), F.col("label").alias("label_u"))
+    beside = beside.join(apart, "u").join(labels.select(F.col("id").alias("v"), F.col("label").alias("label_v")), "v").where("label_u != label_v").select("u", "v")
+    beside = _likely(scratch.table(beside, "beside"), sigs)
+    across = scratch.table(across.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).union(beside).distinct(), "across")
     more = scratch.table(_checked(across, rest_texts, similar), "links")
     if more.limit(1).count():
-        labels = components(some, edges.union(more), scratch)
+        # classes are the nodes now, and each pair of linked classes is one edge
+        place = lambda e: labels.select(F.col("id").alias(e), F.col("label").alias(f"label_{e}"))
+        between = more.join(place("u"), "u").join(place("v"), "v").select(F.col("label_u").alias("u"), F.col("label_v").alias("v")).where("u != v").distinct()
+        merged = components(labels.select(F.col("label").alias("id")).distinct(), scratch.table(between, "between"), scratch)
+        labels = scratch.table(labels.select("id", F.col("label").alias("part")).join(merged.select(F.col("id").alias("part"), "label"), "part").select("id", "label"), "labels")
     named = scratch.table(distinct.join(labels.select("id", "label"), "id", "left").select("digest", "first", "copies", F.coalesce("label", "id").alias("label")), "named")
     groups = scratch.table(named.groupBy("label").agg(F.min("first").alias("class_id"), F.sum("copies").alias("class_size")), "groups")
     classes = scratch.table(named.join(groups, "label").select("digest", "class_id", "class_size"), "classes")
