@@ -100,11 +100,16 @@ def build(items: list[tuple[int, np.ndarray]]) -> Block:
 
 
 def _best_run(agree: np.ndarray, hit: int) -> tuple[int, int]:
-    """The run [a, b) around the hit with the largest score, a token that agrees scoring 1 - AGREE and another -AGREE; it starts and ends with agreement."""
-    score = np.where(agree, 1 - AGREE, -AGREE)
-    right = np.cumsum(score[hit:])
-    left = np.cumsum(score[: hit + 1][::-1])
-    return hit - int(left.argmax()), hit + int(right.argmax()) + 1
+    """The run [a, b) around the hit that has most agreeing tokens of those of which at least AGREE agree, the first if several; it starts and ends with agreement."""
+    score = np.concatenate([[0.0], np.cumsum(np.where(agree, 1 - AGREE, -AGREE))])
+    same = np.concatenate([[0], np.cumsum(agree)])
+    # for each start the last end at which the score is no lower: the running maximum from the right never rises
+    highest = np.maximum.accumulate(score[::-1])
+    ends = len(agree) - np.searchsorted(highest, score[: hit + 1], "left")
+    held = ends > hit
+    a = int(np.where(held, same[ends] - same[: hit + 1], -1).argmax())
+    inside = np.flatnonzero(agree[a : ends[a]])
+    return a + int(inside[0]), a + int(inside[-1]) + 1
 
 
 def find(h: np.ndarray, counts: np.ndarray, block: Block) -> list[tuple[int, int, int, int, int, int, int]]:

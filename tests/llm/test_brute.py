@@ -121,6 +121,34 @@ def test_decontamination_tolerates_substitutions(spark):
     assert {x.doc_id: x.n_agree for x in got}[5] == 20
 
 
+def words(r, n):
+    return r.integers(1, 1 << 60, n).astype(np.uint64)
+
+
+def leak_of(item, doc):
+    """n_agree of the item in the document, None if it is not found."""
+    got = decontaminate.find(doc, np.array([len(doc)]), decontaminate.build([(1, item)]))
+    return got[0][3] if got else None
+
+
+def test_leaks_with_substitutions_are_tested_whole():
+    r = np.random.default_rng(4)
+    for n, replaced in ((16, [10, 13]), (15, [9, 12])):
+        item = words(r, n)
+        doc = item.copy()
+        doc[replaced] = words(r, len(replaced))
+        assert leak_of(item, np.concatenate([words(r, 20), doc, words(r, 20)])) == n - len(replaced)
+    for _ in range(300):
+        agree = r.random(r.integers(15, 36)) >= r.choice([0.1, 0.2, 0.3])
+        hit = int(r.integers(len(agree)))
+        agree[hit] = True
+        runs = [(int(agree[a:b].sum()), b - a) for a in range(hit + 1) for b in range(hit + 1, len(agree) + 1)]
+        a, b = decontaminate._best_run(agree, hit)
+        same = int(agree[a:b].sum())
+        assert a <= hit < b and agree[a] and agree[b - 1] and same >= 0.75 * (b - a)
+        assert same == max(s for s, size in runs if s >= 0.75 * size)
+
+
 def test_leaks_hold_whole_items(spark, docs):
     got = {(r.doc_id, r.item_id) for r in queries.op1_decontaminate(spark, D).collect()}
     squeeze = lambda t: " ".join(re.findall(r"[^\W_]+", t.lower()))
