@@ -99,52 +99,67 @@ def build(items: list[tuple[int, np.ndarray]]) -> Block:
     return Block(items, masks)
 
 
-def _best_run(agree: np.ndarray, hit: int) -> tuple[int, int]:
-    """The run [a, b) around the hit that has most agreeing tokens of those of which at least AGREE agree, the first if several; it starts and ends with agreement."""
+def _best_run(agree: np.ndarray, hits: np.ndarray | int) -> tuple[int, int]:
+    """The run [a, b) holding a hit that has most agreeing tokens of those of which at least AGREE agree, the first if several; it starts and ends with agreement."""
     score = np.concatenate([[0.0], np.cumsum(np.where(agree, 1 - AGREE, -AGREE))])
     same = np.concatenate([[0], np.cumsum(agree)])
+    marks = np.zeros(len(agree), np.int64)
+    marks[hits] = 1
+    before = np.concatenate([[0], np.cumsum(marks)])
     # for each start the last end at which the score is no lower: the running maximum from the right never rises
     highest = np.maximum.accumulate(score[::-1])
-    ends = len(agree) - np.searchsorted(highest, score[: hit + 1], "left")
-    held = ends > hit
-    a = int(np.where(held, same[ends] - same[: hit + 1], -1).argmax())
+    ends = len(agree) - np.searchsorted(highest, score, "left")
+    held = before[ends] > before
+    a = int(np.where(held, same[ends] - same, -1).argmax())
     inside = np.flatnonzero(agree[a : ends[a]])
     return a + int(inside[0]), a + int(inside[-1]) + 1
 
 
-def find(h: np.ndarray, counts: np.ndarray, block: Block) -> list[tuple[int, int, int, int, int, int, int]]:
-    """(row, item index, aligned, agreeing, document token, item token, item tokens): the best diagonal of each row and item."""
+def _hits(h: np.ndarray, counts: np.ndarray, block: Block) -> Iterator[tuple[int, int, int, np.ndarray]]:
+    """(row, item index, diagonal, item tokens of its hits, ascending) of each diagonal of a row with an item that has hits."""
     ends = np.cumsum(counts)
-    best: dict[tuple[int, int], tuple] = {}
-    tried: set[tuple[int, int]] = set()
+    parts = []
     for (places, hashes, who, where), bits in zip(block.masks, block.filters, strict=True):
         got = masked(h, places, len(places) * 1000 + places[-1])
         if not len(got):
             continue
         at = got >> np.uint64(64 - _BITS)
         maybe = np.flatnonzero(bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & np.uint8(1))
+        row = np.searchsorted(ends, maybe, "right")
+        inside = maybe + places[-1] < ends[row]
+        maybe, row = maybe[inside], row[inside]
         lo, hi = np.searchsorted(hashes, got[maybe], "left"), np.searchsorted(hashes, got[maybe], "right")
-        for p, a, b in zip(maybe[hi > lo].tolist(), lo[hi > lo].tolist(), hi[hi > lo].tolist(), strict=True):
-            row = int(np.searchsorted(ends, p, "right"))
-            begin = int(ends[row] - counts[row])
-            if p + places[-1] >= ends[row]:
-                continue
-            for k in range(a, b):
-                item, q = int(who[k]), int(where[k])
-                if (item, p - q) in tried:
-                    continue
-                tried.add((item, p - q))
-                words = block.items[item][1]
-                first, last = max(0, begin - (p - q)), min(len(words), int(ends[row]) - (p - q))
-                agree = words[first:last] == h[p - q + first : p - q + last]
-                if not agree[q - first]:
-                    continue
-                x, y = _best_run(agree, q - first)
-                same = int(agree[x:y].sum())
-                if same >= min(MIN_TOKENS, len(words)) and same >= AGREE * (y - x):
-                    found = (row, item, y - x, same, p - q + first + x - begin, first + x, len(words))
-                    if (row, item) not in best or (-same, found[4]) < (-best[row, item][3], best[row, item][4]):
-                        best[row, item] = found
+        n = hi - lo
+        k = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        q = where[k].astype(np.int64)
+        parts.append((np.repeat(row, n), who[k].astype(np.int64), np.repeat(maybe, n) - q, q))
+    if not parts:
+        return
+    row, item, diagonal, q = (np.concatenate(x) for x in zip(*parts, strict=True))
+    order = np.lexsort((q, diagonal, item, row))
+    row, item, diagonal, q = row[order], item[order], diagonal[order], q[order]
+    first = np.flatnonzero(np.concatenate([[True], (np.diff(row) != 0) | (np.diff(item) != 0) | (np.diff(diagonal) != 0)])) if len(q) else q
+    for a, b in zip(first.tolist(), [*first[1:].tolist(), len(q)], strict=False):
+        yield int(row[a]), int(item[a]), int(diagonal[a]), q[a:b]
+
+
+def find(h: np.ndarray, counts: np.ndarray, block: Block) -> list[tuple[int, int, int, int, int, int, int]]:
+    """(row, item index, aligned, agreeing, document token, item token, item tokens): the best diagonal of each row and item."""
+    ends = np.cumsum(counts)
+    best: dict[tuple[int, int], tuple] = {}
+    for row, item, diagonal, hits in _hits(h, counts, block):
+        begin, words = int(ends[row] - counts[row]), block.items[item][1]
+        first, last = max(0, begin - diagonal), min(len(words), int(ends[row]) - diagonal)
+        agree = words[first:last] == h[diagonal + first : diagonal + last]
+        hits = hits[agree[hits - first]] - first
+        if not len(hits):
+            continue
+        x, y = _best_run(agree, hits)
+        same = int(agree[x:y].sum())
+        if same >= min(MIN_TOKENS, len(words)) and same >= AGREE * (y - x):
+            found = (row, item, y - x, same, diagonal + first + x - begin, first + x, len(words))
+            if (row, item) not in best or (-same, found[4]) < (-best[row, item][3], best[row, item][4]):
+                best[row, item] = found
     return sorted(best.values())
 
 

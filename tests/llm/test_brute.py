@@ -149,6 +149,26 @@ def test_leaks_with_substitutions_are_tested_whole():
         assert same == max(s for s, size in runs if s >= 0.75 * size)
 
 
+def test_every_hit_of_a_diagonal_and_row_is_tested():
+    r = np.random.default_rng(6)
+    item = words(r, 48)
+    doc = item.copy()
+    doc[12:28] = words(r, 16)
+    assert leak_of(item, np.concatenate([words(r, 20), doc, words(r, 20)])) == 20
+    # one text in two rows: the diagonal is the same, the passage is in both
+    both = np.concatenate([words(r, 9), item, words(r, 9)])
+    got = decontaminate.find(both, np.array([25, len(both) - 25]), decontaminate.build([(1, item)]))
+    assert [(x[0], x[3]) for x in got] == [(0, 16), (1, 32)]
+    for _ in range(200):
+        agree = r.random(r.integers(15, 60)) >= r.choice([0.2, 0.3, 0.4])
+        hits = np.unique(r.integers(len(agree), size=3))
+        agree[hits] = True
+        runs = [(int(agree[a:b].sum()), b - a) for a in range(len(agree)) for b in range(a + 1, len(agree) + 1) if any(a <= k < b for k in hits)]
+        a, b = decontaminate._best_run(agree, hits)
+        assert any(a <= k < b for k in hits) and agree[a:b].sum() >= 0.75 * (b - a)
+        assert agree[a:b].sum() == max(s for s, size in runs if s >= 0.75 * size)
+
+
 def test_leaks_hold_whole_items(spark, docs):
     got = {(r.doc_id, r.item_id) for r in queries.op1_decontaminate(spark, D).collect()}
     squeeze = lambda t: " ".join(re.findall(r"[^\W_]+", t.lower()))
