@@ -1,14 +1,17 @@
 """Benchmark decontamination by spaced-seed hashing.
 
-Tokens are runs of ASCII letters and digits or non-ASCII bytes of the lower-cased text. A mask of SPAN positions looks at
+Tokens are runs of ASCII letters and digits or non-ASCII bytes of the lower-cased text. A mask looks at
 its set positions only, so a replaced word at an unset position does not hide a match. The hashes of every mask at every
 benchmark position are joined with those of the documents; each hit fixes a diagonal (document position minus item
 position), along which the tokens are compared one by one. A run of aligned tokens counts as a leak when it holds a hit,
-at least min(MIN_TOKENS, item length) tokens agree and at least AGREE of its tokens agree.
+at least needed(item length) tokens agree and at least AGREE of its tokens agree: MIN_TOKENS, or AGREE of an item of SHORT
+to MIN_TOKENS tokens.
 
 The benchmark side is used in blocks of at most `block_hashes` hashes, each of which is broadcast: a block has a fixed
-size however large the benchmark is, and all blocks see all documents. Items shorter than SPAN tokens use a mask of
-their own length with all positions set; items of fewer than MIN_ITEM tokens identify nothing and are left out.
+size however large the benchmark is, and all blocks see all documents. The last of MASKS leaves one of four neighbours
+free at every place, so that a passage with every fourth word replaced has hits. Items of SHORT to MIN_TOKENS tokens use
+SHORT_MASKS, which together hit every substitution that the rule allows them; shorter ones must agree in all tokens and
+use one mask of their own length; items of fewer than MIN_ITEM tokens identify nothing and are left out.
 
 Edge cases: null and empty texts and items have no tokens and never match; repeated rows give repeated results, but
 repeated items with one item_id give one row per document; ties between equally good diagonals go to the first in the
@@ -17,6 +20,7 @@ document; an empty table on either side gives an empty result; extra columns are
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,8 +32,9 @@ from pyspark.sql import functions as F
 
 from . import common as C
 
-SPAN = 12
-MASKS = ("110100110101", "101101011001", "111001010011")
+MASKS = ("110100110101", "101101011001", "111001010011", "111011101")
+SHORT_MASKS = ("1111", "110011", "11000011")
+SHORT = 8
 MIN_TOKENS = 13
 AGREE = 0.75
 BLOCK_HASHES = 1_000_000
@@ -43,6 +48,11 @@ _FACTORS = np.random.default_rng(11).integers(1, 1 << 62, 64, dtype=np.uint64) *
 _BITS = 24
 
 
+def needed(length: int) -> int:
+    """The least number of agreeing tokens for an item of this length."""
+    return length if length < SHORT else math.ceil(AGREE * length) if length <= MIN_TOKENS else MIN_TOKENS
+
+
 def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Token hashes of all rows end to end, and the number of each row."""
     data, offs = C.utf8(pc.utf8_lower(column))
@@ -85,7 +95,7 @@ class Block:
 def build(items: list[tuple[int, np.ndarray]]) -> Block:
     groups: dict[tuple[str, ...], list[int]] = {}
     for at, (_, h) in enumerate(items):
-        groups.setdefault(MASKS if len(h) >= SPAN else ("1" * len(h),), []).append(at)
+        groups.setdefault(MASKS if len(h) > MIN_TOKENS else SHORT_MASKS if len(h) >= SHORT else ("1" * len(h),), []).append(at)
     masks = []
     for names, members in groups.items():
         for name in names:
@@ -156,7 +166,7 @@ def find(h: np.ndarray, counts: np.ndarray, block: Block) -> list[tuple[int, int
             continue
         x, y = _best_run(agree, hits)
         same = int(agree[x:y].sum())
-        if same >= min(MIN_TOKENS, len(words)) and same >= AGREE * (y - x):
+        if same >= needed(len(words)) and same >= AGREE * (y - x):
             found = (row, item, y - x, same, diagonal + first + x - begin, first + x, len(words))
             if (row, item) not in best or (-same, found[4]) < (-best[row, item][3], best[row, item][4]):
                 best[row, item] = found

@@ -1,6 +1,7 @@
 """The operators against plain Python on the driver's smallest tables."""
 
 import hashlib
+import itertools
 import os
 import re
 import zlib
@@ -169,6 +170,27 @@ def test_every_hit_of_a_diagonal_and_row_is_tested():
         assert agree[a:b].sum() == max(s for s, size in runs if s >= 0.75 * size)
 
 
+def test_short_items_and_every_fourth_word():
+    r = np.random.default_rng(8)
+    around = words(r, 20)
+    for n in range(8, 14):
+        item, other = words(r, n), words(r, n)
+        block = decontaminate.build([(1, item)])
+        for places in itertools.combinations(range(n), n // 4):
+            doc = item.copy()
+            doc[list(places)] = other[list(places)]
+            got = decontaminate.find(np.concatenate([around, doc, around]), np.array([n + 40]), block)
+            assert got and got[0][3] == n - n // 4
+        doc = item.copy()
+        doc[: n // 4 + 1] = other[: n // 4 + 1]
+        assert leak_of(item, np.concatenate([around, doc, around])) is None
+    for at in range(4):
+        item = words(r, 59)
+        doc = item.copy()
+        doc[at::4] = words(r, len(doc[at::4]))
+        assert leak_of(item, np.concatenate([around, doc, around])) >= 40
+
+
 def test_leaks_hold_whole_items(spark, docs):
     got = {(r.doc_id, r.item_id) for r in queries.op1_decontaminate(spark, D).collect()}
     squeeze = lambda t: " ".join(re.findall(r"[^\W_]+", t.lower()))
