@@ -8,8 +8,9 @@ coordinate with probability equal to their weighted Jaccard similarity. Darts ar
 coordinates are expected to be full (K ln K + 2K darts over the total weight); texts with an empty coordinate go on.
 
 Links: texts that agree on all ROWS values of one of BANDS bands share a bucket. Each is compared with the first of all
-its buckets' first texts (estimate from signatures, then the exact similarity from both texts). Buckets whose members are then in different
-classes are joined once more, but only between members of different classes and only where a link is possible. Shingles
+its buckets' first texts (estimate from signatures, then the exact similarity from both texts). Linked texts become one
+class. Buckets that still hold several classes get other heads, round by round (_more_stars). The buckets of several classes
+that are then left are joined once more, but only between members of different classes and only where a link is possible. Shingles
 that at most RARE of the texts there have are looked at by themselves: texts that share one are compared, and for all
 others none of these shingles is shared, which bounds the similarity from the weights alone. So no candidate pair is
 lost: each one is compared, already in one class, or shown to be no link. Nothing is capped.
@@ -209,18 +210,78 @@ def components(nodes: DataFrame, edges: DataFrame, scratch: C.Scratch) -> DataFr
     both = scratch.table(edges.select(F.col("u").alias("s"), F.col("v").alias("d")).union(edges.select(F.col("v").alias("s"), F.col("u").alias("d"))), "edges")
     labels = scratch.table(nodes.select("id", F.col("id").alias("label"), F.col("id").alias("was")), "labels")
     while True:
-        told = scratch.table(both.join(labels.select("id", "label"), both.s == labels.id).groupBy("d").agg(F.min("label").alias("heard")), "told")
+        told = both.join(labels.select("id", "label"), both.s == labels.id).groupBy("d").agg(F.min("label").alias("heard"))
         near = labels.join(told, labels.id == told.d, "left").select("id", F.col("label").alias("was"), F.least("label", F.coalesce("heard", "label")).alias("label"))
         near = scratch.table(near, "near")
         far = near.select(F.col("id").alias("label"), F.col("label").alias("further"))
         after = scratch.table(near.join(far, "label").select("id", F.least("label", "further").alias("label"), "was"), "labels")
-        scratch.drop(labels, told, near)
+        scratch.drop(labels, near)
         labels = after
         if not labels.where("label != was").limit(1).count():
             scratch.drop(both)
             return labels
 
 
+def _mixed(placed: DataFrame) -> DataFrame:
+    """The keys of the buckets that hold several classes."""
+    return placed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high").select("key")
+
+
+def _between(links: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs of different classes (u, v) that links between texts join."""
+    place = lambda e: labels.select(F.col("id").alias(e), F.col("label").alias(f"label_{e}"))
+    pairs = links.join(place("u"), "u").join(place("v"), "v").where("label_u != label_v")
+    return pairs.select(F.least("label_u", "label_v").alias("u"), F.greatest("label_u", "label_v").alias("v")).distinct()
+
+
+def _contracted(classes: DataFrame, between: DataFrame, scratch: C.Scratch) -> DataFrame:
+    """(was, label): the class that each class (label) belongs to once the pairs are joined."""
+    return components(classes.select(F.col("label").alias("id")), between, scratch).select(F.col("id").alias("was"), "label")
+
+
+def _moved(labels: DataFrame, moved: DataFrame, scratch: C.Scratch) -> DataFrame:
+    """labels, with the classes that `moved` names replaced."""
+    named = labels.select("id", F.col("label").alias("was")).join(moved.select("was", F.col("label").alias("now")), "was", "left")
+    return scratch.table(named.select("id", F.coalesce("now", "was").alias("label")), "labels")
+
+
+def _lead(turn: int) -> list[F.Column]:
+    """What makes a text the head of its bucket in a round: its reach; then, in turn, chance, and chance by class and the class's reach."""
+    if turn == 0:
+        return [F.col("reach"), F.xxhash64("id", "key")]
+    return [F.xxhash64("id", "key", F.lit(turn))] if turn % 2 else [F.xxhash64("label", "key", F.lit(turn)), F.col("reach")]
+
+
+def _more_stars(rest: DataFrame, sigs: DataFrame, texts: DataFrame, similar: float, scratch: C.Scratch) -> DataFrame:
+    """(was, label) of each class of `rest` (key, id, label, reach), after rounds of comparisons with new heads.
+
+    In a round every bucket of several classes has one head, and each text of another class is compared with the head of one of
+    its buckets; classes with a link become one. So a round has at most as many pairs as there are texts, and a group whose
+    first head was a bad centre is one class after a few rounds, instead of a link for each of its pairs. Rounds go on while
+    they join a tenth of the classes that are left; what they leave is compared in full by the caller.
+    """
+    moved = scratch.table(rest.select(F.col("label").alias("was")).distinct().withColumn("label", F.col("was")), "moved")
+    turn = 0
+    while True:
+        placed = rest.select("key", "id", "reach", F.col("label").alias("was")).join(moved, "was").select("key", "id", "reach", "label")
+        live = scratch.table(placed.join(scratch.table(_mixed(placed), "mixed"), "key"), "live")
+        heads = live.groupBy("key").agg(F.max_by(F.struct("id", "label"), F.struct(*_lead(turn), "id")).alias("head"))
+        met = live.join(scratch.table(heads, "heads").hint("merge"), "key").where("label != head.label")
+        pairs = met.groupBy("id").agg(F.max_by("head.id", F.xxhash64("id", "key", F.lit(turn))).alias("v"))
+        likely = scratch.table(_likely(scratch.table(pairs.select(F.col("id").alias("u"), "v"), "pairs"), sigs), "likely")
+        links = scratch.table(_checked(likely, texts, similar), "links")
+        between = scratch.table(_between(links, scratch.table(live.select("id", "label").distinct(), "apart")), "between")
+        classes = scratch.table(live.select("label").distinct(), "classes")
+        left, linked = classes.count(), between.limit(1).count()
+        if linked:
+            joined = _contracted(classes, between, scratch).select(F.col("was").alias("label"), F.col("label").alias("now"))
+            fewer = joined.where("now != label").count()
+            moved = scratch.table(moved.join(joined, "label", "left").select("was", F.coalesce("now", "label").alias("label")), "moved")
+        if not linked or 10 * fewer < left:
+            return moved
+        turn += 1
+
+
 def near_duplicates(documents: DataFrame, similar: float = SIMILAR) -> DataFrame:
     """One row of RESULT per document row."""
     return _classified(documents, similar).drop("digest")
@@ -240,12 +301,12 @@ def _classified(documents: DataFrame, similar: float) -> DataFrame:
     keys = F.posexplode(F.array(*[F.xxhash64(F.slice("sig", b * ROWS + 1, ROWS), F.lit(b)) for b in range(BANDS)])).alias("band", "key")
     bands = sigs.select("id", "first", keys)
     heads = bands.groupBy("key").agg(F.min(F.struct("first", "id")).alias("head"), F.count("*").alias("n")).where("n > 1")
-    heads = scratch.table(heads.select("key", "head"), "heads")
+    heads = scratch.table(heads, "heads")
     members = scratch.table(bands.select("id", "band", "key").join(heads.hint("merge"), "key"), "members")
-    some = scratch.table(members.select("id").distinct(), "ids")
-    stars = members.where("id != head.id").groupBy("id").agg(F.min("head").alias("head")).select(F.col("id").alias("u"), F.col("head.id").alias("v"))
-    stars = scratch.table(stars, "stars")
-    likely = scratch.table(_likely(stars, sigs), "likely")
+    # reach: how many texts a text meets in its buckets
+    told = members.groupBy("id").agg(F.sum("n").alias("reach"), F.min(F.when(F.col("id") != F.col("head.id"), F.col("head"))).alias("head"))
+    some = scratch.table(told.select("id", "reach", F.col("head.id").alias("v")), "ids")
+    likely = scratch.table(_likely(some.where("v is not null").select(F.col("id").alias("u"), "v"), sigs), "likely")
     # the texts of all bucket members, once
     wanted = scratch.table(some.join(distinct, "id").select("id", F.col("first").alias("doc_id"), "digest"), "wanted")
     source = documents.where("text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -253,22 +314,30 @@ def _classified(documents: DataFrame, similar: float) -> DataFrame:
     texts = scratch.table(texts, "texts")
     edges = scratch.table(_checked(likely, texts, similar), "links")
     labels = components(some, edges, scratch)
-    scratch.drop(heads, stars, likely, wanted)
-    # buckets that still hold several classes: what is left to compare are pairs across classes, of texts that can have a link at all
+    scratch.drop(heads, likely, wanted)
+    # buckets that still hold several classes
     placed = members.select("key", "band", "id").join(labels.select("id", "label").hint("merge"), "id")
-    mixed = scratch.table(placed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high").select("key"), "mixed")
-    rest = scratch.table(placed.join(mixed, "key"), "rest")
-    rest_texts = scratch.table(texts.join(scratch.table(rest.select("id").distinct(), "rest_ids").hint("merge"), "id"), "rest_texts")
+    rest = scratch.table(placed.join(scratch.table(_mixed(placed), "mixed"), "key"), "rest")
+    rest_ids = scratch.table(rest.select("id").distinct(), "rest_ids")
+    rest_sigs = scratch.table(sigs.select("id", "sig", "weight").join(rest_ids.hint("merge"), "id"), "rest_sigs")
+    rest_texts = scratch.table(texts.join(rest_ids.hint("merge"), "id"), "rest_texts")
+    scratch.drop(texts, members)
+    met = scratch.table(rest.join(some.select("id", "reach"), "id"), "met")
+    moved = _more_stars(met, rest_sigs, rest_texts, similar, scratch)
+    rest = rest.withColumnRenamed("label", "was").join(moved.withColumnRenamed("label", "now"), "was").select("key", "band", "id", F.col("now").alias("label"))
+    labels = _moved(labels, moved, scratch)
+    # what is left to compare are pairs across classes, of texts that can have a link at all
+    rest = scratch.table(rest.join(scratch.table(_mixed(rest), "mixed"), "key"), "rest")
+    rest_texts = scratch.table(rest_texts.join(scratch.table(rest.select("id").distinct(), "rest_ids").hint("merge"), "id"), "rest_texts")
     counts = scratch.table(_spread(rest_texts).groupBy("shingle").agg(F.count("*").alias("texts")).where(F.col("texts") <= RARE), "rare")
     rare = scratch.table(_spread(rest_texts).join(counts.hint("merge"), "shingle"), "rare_in")
     own = scratch.table(rare.groupBy("id").agg(F.sum("n").alias("own")), "own")
-    rest = rest.join(sigs.select("id", "weight"), "id").join(own, "id", "left").select("key", "band", "id", "label", "weight", F.coalesce("own", F.lit(0)).alias("own"))
+    rest = rest.join(rest_sigs.select("id", "weight"), "id").join(own, "id", "left").select("key", "band", "id", "label", "weight", F.coalesce("own", F.lit(0)).alias("own"))
     rest = scratch.table(rest, "rest_weighed")
     least = scratch.table(rest.groupBy("key").agg(F.min("weight").alias("least")), "least")
     able = rest.join(least, "key").where(_bound("weight", F.greatest("least", F.col("weight") * similar), "own") >= similar - 1e-9).drop("least")
     able = scratch.table(able, "able")
-    mixed = scratch.table(able.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high").select("key"), "mixed")
-    able = scratch.table(able.join(mixed, "key").join(sigs.select("id", "sig"), "id"), "able_signed")
+    able = scratch.table(able.join(scratch.table(_mixed(able), "mixed"), "key").join(rest_sigs.select("id", "sig"), "id"), "able_signed")
     other = able.select("key", F.col("id").alias("v"), F.col("sig").alias("b"), F.col("label").alias("label_v"), F.col("weight").alias("weight_v"), F.col("own").alias("own_v"))
     can = (_bound("weight", "weight_v", "own") >= similar - 1e-9) & (_bound("weight_v", "weight", "own_v") >= similar - 1e-9)
     across = able.join(other, (able.key == other.key) & (able.label < other.label_v) & can & (_agree("sig", "b") >= ESTIMATE) & (_same_band("sig", "b") == able.band)).select(F.col("id").alias("u"), "v")
@@ -276,15 +345,12 @@ def _classified(documents: DataFrame, similar: float) -> DataFrame:
     beside = shared.join(shared.select("shingle", F.col("u").alias("v")), "shingle").where("u < v").select("u", "v").distinct()
     apart = labels.select(F.col("id").alias("u"), F.col("label").alias("label_u"))
     beside = beside.join(apart, "u").join(labels.select(F.col("id").alias("v"), F.col("label").alias("label_v")), "v").where("label_u != label_v").select("u", "v")
-    beside = _likely(scratch.table(beside, "beside"), sigs)
+    beside = _likely(scratch.table(beside, "beside"), rest_sigs)
     across = scratch.table(across.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).union(beside).distinct(), "across")
     more = scratch.table(_checked(across, rest_texts, similar), "links")
-    if more.limit(1).count():
-        # classes are the nodes now, and each pair of linked classes is one edge
-        place = lambda e: labels.select(F.col("id").alias(e), F.col("label").alias(f"label_{e}"))
-        between = more.join(place("u"), "u").join(place("v"), "v").select(F.col("label_u").alias("u"), F.col("label_v").alias("v")).where("u != v").distinct()
-        merged = components(labels.select(F.col("label").alias("id")).distinct(), scratch.table(between, "between"), scratch)
-        labels = scratch.table(labels.select("id", F.col("label").alias("part")).join(merged.select(F.col("id").alias("part"), "label"), "part").select("id", "label"), "labels")
+    between = scratch.table(_between(more, labels), "between")
+    if between.limit(1).count():
+        labels = _moved(labels, _contracted(labels.select("label").distinct(), between, scratch), scratch)
     named = scratch.table(distinct.join(labels.select("id", "label"), "id", "left").select("digest", "first", "copies", F.coalesce("label", "id").alias("label")), "named")
     groups = scratch.table(named.groupBy("label").agg(F.min("first").alias("class_id"), F.sum("copies").alias("class_size")), "groups")
     classes = scratch.table(named.join(groups, "label").select("digest", "class_id", "class_size"), "classes")
