@@ -72,12 +72,50 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return Scratch(df.sparkSession, tag).table(df, tag)
 
 
-def smallest_by_hash(df: DataFrame, key: Column, n: int) -> DataFrame:
-    """The n rows of smallest key hash. Rows that can't be among them are left out before the order is taken, so what tasks send stays near 2 n rows in all."""
-    total = df.count()
-    if total > 4 * n:
-        df = df.where(key < F.lit(-(1 << 63) + (1 << 65) * n // total))
-    return df.orderBy(key, *df.columns).limit(n)
+BUCKETS = 1 << 16
+
+
+def smallest_by_hash(df: DataFrame, columns: list[str], n: int) -> DataFrame:
+    """The n distinct rows (of df's columns `columns`) of smallest hash, as a local table; columns that repeat count once.
+
+    A histogram of hash prefixes (at most BUCKETS rows) says below which prefix the first n rows lie, so tasks send those
+    rows only; where repeats fill the prefixes, further ones are taken until n distinct rows are found or none are left.
+    """
+    spark, key = df.sparkSession, F.xxhash64(*columns)
+    prefix = F.shiftrightunsigned(key, 48)
+    counts = sorted((r["p"], r["count"]) for r in df.groupBy(prefix.alias("p")).count().collect())
+    want, rows = n, []
+    while True:
+        upto, seen = -1, 0
+        for place, count in counts:
+            upto, seen = place, seen + count
+            if seen >= want:
+                break
+        rows = df.where(prefix <= upto).select(*columns).distinct().orderBy(F.shiftrightunsigned(F.xxhash64(*columns), 1), *columns).limit(n).collect()
+        if len(rows) >= n or seen < want or not counts or upto == counts[-1][0]:
+            return spark.createDataFrame(rows, df.select(*columns).schema)
+        want *= 4
+
+
+def training_texts(documents: DataFrame, known: DataFrame, n: int, most_bytes: int) -> DataFrame:
+    """A bounded sample of labelled texts: rows of documents (its columns and those of known) with at most n different pairs
+    of doc_id and text and most_bytes of text in all, whole texts only.
+
+    known: doc_id and further columns, distinct. The n doc_ids of smallest hash are looked up; rows that repeat one with
+    the same text count once, and of more than n rows, those of smallest hash stay. A text that would exceed the bytes is passed over.
+    """
+    spark = documents.sparkSession
+    few = smallest_by_hash(known, known.columns, n)
+    other = [c for c in [*documents.columns, *known.columns[1:]] if c not in ("doc_id", "text")]
+    found = documents.where("text is not null").join(F.broadcast(few), "doc_id").groupBy("doc_id", *other, F.xxhash64("text").alias("text_key")).agg(F.min("text").alias("text"))
+    found = materialize(found.withColumn("text_bytes", F.octet_length("text").cast("long")), "sample")
+    held, chosen = 0, []
+    for r in smallest_by_hash(found, ["doc_id", "text_key", "text_bytes"], n).collect():
+        if held + r["text_bytes"] <= most_bytes:
+            held += r["text_bytes"]
+            chosen.append((r["doc_id"], r["text_key"]))
+    picked = spark.createDataFrame(chosen, "doc_id long, text_key long")
+    return found.join(F.broadcast(picked), ["doc_id", "text_key"]).select(*other, "text")
 
 
 def free_name(name: str, taken: list[str]) -> str:

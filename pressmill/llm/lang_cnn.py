@@ -5,12 +5,12 @@ into windows of WINDOW bytes, the last one filled with zeros. The network embeds
 widths, takes each filter's maximum over the window and ends in a softmax over the learned languages. A text's answer is
 the softmax of its windows' mean log chances, weighted by their letters: every window of every text takes part.
 
-Training is in numpy, on at most `max_train` labelled texts (smallest hash of doc_id) with at most TRAIN_WINDOWS evenly
-spaced windows each, only from documents whose crc32(doc_id as text) modulo 5 is not 0. lang, source and doc_id are not
-inputs of a prediction.
+Training is in numpy, on a bounded sample of labelled texts (`max_train` rows and `train_bytes` of text at most, smallest
+hash) with all their windows, only from documents whose crc32(doc_id as text) modulo 5 is not 0. lang, source and doc_id
+are not inputs of a prediction.
 
 Edge cases: a null text and one without a letter are 'und' with score 0; null lang values are not learned; with no
-labelled text everything is 'und'; ties go to the first language in code point order; repeated rows give repeated
+labelled text everything is 'und'; a very long text has as many windows as it needs; ties go to the first language in code point order; repeated rows give repeated
 results; an empty table gives an empty result; extra columns are ignored.
 """
 
@@ -28,7 +28,7 @@ from . import common as C
 
 WINDOW = 128
 WIDTHS, FILTERS, EMBED = (2, 3, 4), 16, 8
-MAX_TRAIN, TRAIN_WINDOWS = 3000, 4
+MAX_TRAIN, TRAIN_BYTES = 3000, 8 << 20
 BATCH = 64
 UNKNOWN = "und"
 
@@ -135,22 +135,19 @@ def fit(x: np.ndarray, y: np.ndarray, names: list[str], steps: int = 450, batch:
     return net
 
 
-def train(documents: DataFrame, max_train: int = MAX_TRAIN) -> ByteNet | None:
+def train(documents: DataFrame, max_train: int = MAX_TRAIN, train_bytes: int = TRAIN_BYTES) -> ByteNet | None:
     """Fit on a bounded sample of the labelled texts outside the held-out fold."""
-    known = documents.where("lang is not null and doc_id is not null").where(C.crc_mod("doc_id", 5) != 0)
-    ids = C.smallest_by_hash(known.select("doc_id"), F.xxhash64("doc_id"), max_train).distinct()
+    source = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text")
+    known = source.where("lang is not null and doc_id is not null").where(C.crc_mod("doc_id", 5) != 0)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, _, _ in C.text_chunks(batches):
             x, many, letters = windows(batch.column(1))
-            first = np.concatenate(([0], np.cumsum(many)))
-            out = []
-            for i, k in enumerate(many.tolist()):
-                pick = first[i] + (np.arange(k) if k <= TRAIN_WINDOWS else np.linspace(0, k - 1, TRAIN_WINDOWS).astype(np.int64))
-                out.append(x[pick[letters[pick] > 0]].tobytes())
+            ends = np.cumsum(many)
+            out = [x[e - k : e][letters[e - k : e] > 0].tobytes() for e, k in zip(ends.tolist(), many.tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["lang", "x"])
 
-    rows = known.where("text is not null").join(F.broadcast(ids), "doc_id").select("lang", "text").mapInArrow(cut, "lang string, x binary").collect()
+    rows = C.training_texts(known, known.select("doc_id"), max_train, train_bytes).mapInArrow(cut, "lang string, x binary").collect()
     rows = sorted((r for r in rows if len(r.x)), key=lambda r: (r.lang, bytes(r.x)))
     if not rows:
         return None

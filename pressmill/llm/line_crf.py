@@ -4,12 +4,19 @@ Every text is cut at newlines; each line with a word gets binary features (see `
 it content or boilerplate. A text is kept when at least `content_share` of its words stand in content lines and the
 base rules (too few words, mostly repeated words) pass.
 
-Training: the chain is fitted here by gradient ascent on the conditional likelihood. Its lines take the quality label
-of their document as a weak label; at most `max_train` labelled documents (the smallest by hash of doc_id) are used,
-each whole. Without both kinds of label the model marks every line content, so that the base rules alone decide.
+Training: only documents are labelled, so the labels of their lines are latent. In a good document every line counts as
+content; of a bad one it is only known that boilerplate holds most of its words. The chain is fitted here by hard
+expectation maximisation under that constraint: the lines of each bad document are decoded by the present chain, all their
+scores raised by one common shift, as small as it can be, with which boilerplate holds BAD_SHARE of the words; then the
+weights follow the gradient of the conditional log likelihood of these labels. So prose between junk lines of a bad
+document stays content, and the transitions learn real changes. The sample is bounded: at most `max_train` labelled rows
+and `train_bytes` of text (smallest hash), each text whole. Without both kinds of label the model marks every line
+content, so that the base rules alone decide.
 
 Edge cases: null and empty texts have no words, fail the base rules and are not kept; a text of one line is a chain of
-length 1; repeated rows give repeated results; an empty table gives an empty result; extra columns are ignored.
+length 1, a very long text is one long chain, in time and memory linear in its length; of equally good label sequences
+Viterbi takes the one with content where they differ last; repeated rows give repeated results; an empty table gives an
+empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,7 +33,8 @@ from . import common as C
 
 MIN_WORDS = 50
 CONTENT_SHARE = 0.5
-MAX_TRAIN = 3000
+MAX_TRAIN, TRAIN_BYTES = 3000, 16 << 20
+BAD_SHARE = 0.6
 SYMBOLS = "#*$%&|<>"
 
 RESULT = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, content_words long, n_lines long, n_content_lines long, kept boolean"
@@ -122,41 +130,45 @@ class Chain:
 
     def decode(self, x: np.ndarray, lines: np.ndarray) -> np.ndarray:
         """Viterbi over all rows at once; lines: how many of the rows of x belong to each sequence, in order."""
-        score = x @ self.weights
-        starts = np.concatenate(([0], np.cumsum(lines)))[:-1]
-        order = np.argsort(-lines, kind="stable")
-        starts, lengths = starts[order], lines[order]
-        longest = int(lengths[0]) if len(lengths) else 0
-        back = np.zeros((len(score), 2), np.int8)
-        best = np.zeros((len(lengths), 2))
-        for t in range(longest):
-            live = int(np.searchsorted(-lengths, -t, "left"))
-            emit = np.stack((np.zeros(live), score[starts[:live] + t]), 1)
-            if t == 0:
-                best[:live] = self.start + emit
-                continue
-            both = best[:live, :, None] + self.moves
-            back[starts[:live] + t] = both.argmax(1)
-            best[:live] = both.max(1) + emit
-        label = np.zeros(len(score), np.int8)
-        now = best.argmax(1).astype(np.int8)
-        for t in range(longest - 1, -1, -1):
-            live = int(np.searchsorted(-lengths, -t, "left"))
-            at = starts[:live] + t
-            label[at] = now[:live]
-            now[:live] = back[at, now[:live]]
-        return label
-
-
-def _expect(weights: np.ndarray, moves: np.ndarray, start: np.ndarray, x: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return viterbi(x @ self.weights, self.moves, self.start, lines)
+
+
+def viterbi(score: np.ndarray, moves: np.ndarray, start: np.ndarray, lines: np.ndarray) -> np.ndarray:
+    """The best labels of sequences that stand end to end; score: of label 1 at each line."""
+    starts = np.concatenate(([0], np.cumsum(lines)))[:-1]
+    order = np.argsort(-lines, kind="stable")
+    starts, lengths = starts[order], lines[order]
+    longest = int(lengths[0]) if len(lengths) else 0
+    back = np.zeros((len(score), 2), np.int8)
+    best = np.zeros((len(lengths), 2))
+    for t in range(longest):
+        live = int(np.searchsorted(-lengths, -t, "left"))
+        emit = np.stack((np.zeros(live), score[starts[:live] + t]), 1)
+        if t == 0:
+            best[:live] = start + emit
+            continue
+        both = best[:live, :, None] + moves
+        back[starts[:live] + t] = both.argmax(1)
+        best[:live] = both.max(1) + emit
+    label = np.zeros(len(score), np.int8)
+    now = best.argmax(1).astype(np.int8)
+    for t in range(longest - 1, -1, -1):
+        live = int(np.searchsorted(-lengths, -t, "left"))
+        at = starts[:live] + t
+        label[at] = now[:live]
+        now[:live] = back[at, now[:live]]
+    return label
+
+
+def _expect(score: np.ndarray, moves: np.ndarray, start: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Forward-backward: chance of label 1 for each line, expected moves, expected starts. Sequences stand by falling length."""
-    score, n, longest = x @ weights, len(lengths), int(lengths[0])
+    n, longest = len(lengths), int(lengths[0]) if len(lengths) else 0
     live = [int(np.searchsorted(-lengths, -t, "left")) for t in range(longest)]
     alpha = np.zeros((len(score), 2))
     for t in range(longest):
         at = starts[: live[t]] + t
         emit = np.stack((np.zeros(len(at)), score[at]), 1)
-        alpha[at] = emit + (start if t == 0 else np.logaddexp.reduce(alpha[at - 1][:, :, None] + moves, 1))
+        alpha[at] = emit + (start if t == 0 else np.logaddexp(alpha[at - 1][:, :1] + moves[0], alpha[at - 1][:, 1:] + moves[1]))
     beta = np.zeros((n, 2))
     total = np.logaddexp.reduce(alpha[starts + lengths - 1], 1)
     p1, pair = np.zeros(len(score)), np.zeros((2, 2))
@@ -167,53 +179,86 @@ def _expect(weights: np.ndarray, moves: np.ndarray, start: np.ndarray, x: np.nda
         if t:
             emit = np.stack((np.zeros(k), score[at]), 1) + beta[:k]
             pair += np.exp(alpha[at - 1][:, :, None] + moves + emit[:, None, :] - total[:k, None, None]).sum(0)
-            beta[:k] = np.logaddexp.reduce(moves + emit[:, None, :], 2)
+            beta[:k] = np.logaddexp(moves[:, 0] + emit[:, :1], moves[:, 1] + emit[:, 1:])
     return p1, pair, np.array([1 - p1[starts], p1[starts]]).sum(1)
 
 
-def fit(x: np.ndarray, y: np.ndarray, lines: np.ndarray, rounds: int = 120, rate: float = 0.15, l2: float = 1e-3) -> Chain:
-    """Adam on the mean conditional log likelihood of label sequences."""
+class _Ascent:
+    """Adam, upwards."""
+
+    def __init__(self, now: list[np.ndarray], rate: float) -> None:
+        self.now, self.rate, self.step = now, rate, 0
+        self.m, self.v = [np.zeros_like(p) for p in now], [np.zeros_like(p) for p in now]
+
+    def go(self, gradients: list[np.ndarray]) -> None:
+        self.step += 1
+        for i, g in enumerate(gradients):
+            self.m[i] = 0.9 * self.m[i] + 0.1 * g
+            self.v[i] = 0.99 * self.v[i] + 0.01 * g * g
+            self.now[i] = self.now[i] + self.rate * (self.m[i] / (1 - 0.9**self.step)) / (np.sqrt(self.v[i] / (1 - 0.99**self.step)) + 1e-8)
+
+
+def fit(
+    x: np.ndarray, bad: np.ndarray, lines: np.ndarray, words: np.ndarray, share: float = BAD_SHARE, turns: int = 3, steps: int = 40, rate: float = 0.15, l2: float = 1e-4
+) -> Chain:
+    """The chain of texts (lines: rows of x of each; words: of each line) of which it is known whether they are bad."""
+    owner = np.repeat(np.arange(len(lines)), lines)
     starts = np.concatenate(([0], np.cumsum(lines)))[:-1]
     order = np.argsort(-lines, kind="stable")
-    starts, lengths = starts[order], lines[order]
-    one = np.zeros((2, 2))
-    inner = np.ones(len(y), bool)
-    inner[starts] = False
-    at = np.flatnonzero(inner)
-    np.add.at(one, (y[at - 1], y[at]), 1)
-    seen = (x.T @ y.astype(np.float64), one, np.bincount(y[starts], minlength=2).astype(float))
-    now = [np.zeros(x.shape[1]), np.zeros((2, 2)), np.zeros(2)]
-    m, v = [np.zeros_like(p) for p in now], [np.zeros_like(p) for p in now]
-    for step in range(1, rounds + 1):
-        p1, pair, begin = _expect(*now, x, starts, lengths)
-        for i, (have, want) in enumerate(zip((x.T @ p1, pair, begin), seen, strict=True)):
-            g = (want - have) / len(y) - l2 * now[i]
-            m[i], v[i] = 0.9 * m[i] + 0.1 * g, 0.99 * v[i] + 0.01 * g * g
-            now[i] = now[i] + rate * (m[i] / (1 - 0.9**step)) / (np.sqrt(v[i] / (1 - 0.99**step)) + 1e-8)
-    return Chain(*now)
-
-
-def train(documents: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Chain | None:
-    """Fit the chain on a bounded sample: the max_train labelled doc_ids of smallest hash."""
-    known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    some = C.smallest_by_hash(known, F.xxhash64("doc_id"), max_train)
+    starts_by, lengths_by = starts[order], lines[order]
+    # the lines of bad documents; before the first turn each line is taken by itself, with its document's label
+    loose = bad[owner]
+    owner_of, lines_of, words_of = np.repeat(np.arange(bad.sum()), lines[bad]), lines[bad], words[loose]
+    enough = share * np.bincount(owner_of, words_of)
+    y = loose.astype(np.float64)
+    alone = _Ascent([np.zeros(x.shape[1])], rate)
+    for _ in range(2 * steps):
+        alone.go([x.T @ (y - 1 / (1 + np.exp(-(x @ alone.now[0])))) / len(y) - l2 * alone.now[0]])
+    climb = _Ascent([alone.now[0], np.zeros((2, 2)), np.zeros(2)], rate)
+    inner = np.setdiff1d(np.arange(len(owner)), starts)
+    for _ in range(turns):
+        weights, moves, start = climb.now
+        score, low, high = (x @ weights)[loose], np.zeros(len(lines_of)), np.full(len(lines_of), 64.0)
+        told = lambda shift: viterbi(score + shift[owner_of], moves, start, lines_of)  # noqa: B023, E731
+        high[np.bincount(owner_of, told(low) * words_of) >= enough] = 0.0
+        for _ in range(10):
+            mid = (low + high) / 2
+            met = np.bincount(owner_of, told(mid) * words_of) >= enough
+            high, low = np.where(met, mid, high), np.where(met, low, mid)
+        label = np.zeros(len(owner), np.int64)
+        label[loose] = told(high)
+        seen = np.zeros((2, 2))
+        np.add.at(seen, (label[inner - 1], label[inner]), 1)
+        want = (x.T @ label.astype(np.float64), seen, np.bincount(label[starts], minlength=2).astype(float))
+        for _ in range(steps):
+            p1, pair, begin = _expect(x @ climb.now[0], climb.now[1], climb.now[2], starts_by, lengths_by)
+            climb.go([(w - h) / len(owner) - l2 * p for w, h, p in zip(want, (x.T @ p1, pair, begin), climb.now, strict=True)])
+    return Chain(*climb.now)
+
+
+def train(documents: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, train_bytes: int = TRAIN_BYTES) -> Chain | None:
+    """Fit the chain on a bounded sample of the labelled documents; a doc_id with several labels has the highest."""
+    known = labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("quality").cast("double")).alias("label"))
 
     def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offs in C.text_chunks(batches):
             got = measure(data, offs)
-            y = np.asarray(batch.column(0).to_numpy(zero_copy_only=False) == 0)
+            y = np.asarray(batch.column(0)) <= 0
             cut = np.concatenate(([0], np.cumsum(got["lines"])))
-            x = got["x"].astype(np.uint8)
-            rows = [(bool(y[i]), int(got["lines"][i]), x[cut[i] : cut[i + 1]].tobytes()) for i in range(len(y)) if got["lines"][i]]
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.bool_(), pa.int64(), pa.binary()))], ["bad", "lines", "x"])
+            x, k = np.packbits(got["x"].astype(bool), axis=1), got["line_words"].astype("<u4")
+            rows = [(bool(y[i]), int(got["lines"][i]), x[a:b].tobytes(), k[a:b].tobytes()) for i, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if b > a]
+            types = (pa.bool_(), pa.int64(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], ["bad", "lines", "x", "words"])
 
-    rows = documents.select("doc_id", "text").join(F.broadcast(some), "doc_id").select("quality", "text").mapInArrow(lines, "bad boolean, lines long, x binary").collect()
+    source = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows = C.training_texts(source, known, max_train, train_bytes).mapInArrow(lines, "bad boolean, lines long, x binary, words binary").collect()
     if len({r.bad for r in rows}) < 2:
         return None
-    rows.sort(key=lambda r: (r.bad, r.lines, bytes(r.x)))
-    x = np.concatenate([np.frombuffer(bytes(r.x), np.uint8).reshape(r.lines, -1) for r in rows]).astype(np.float32)
+    rows.sort(key=lambda r: (r.bad, r.lines, bytes(r.x), bytes(r.words)))
     counts = np.array([r.lines for r in rows])
-    return fit(x, np.repeat(np.array([int(r.bad) for r in rows]), counts), counts)
+    packed = np.frombuffer(b"".join(bytes(r.x) for r in rows), np.uint8).reshape(int(counts.sum()), -1)
+    x = np.unpackbits(packed, axis=1, count=len(FEATURES)).astype(np.float32)
+    return fit(x, np.array([r.bad for r in rows]), counts, np.frombuffer(b"".join(bytes(r.words) for r in rows), "<u4").astype(np.float64))
 
 
 def judge(documents: DataFrame, chain: Chain | None, content_share: float = CONTENT_SHARE, min_words: int = MIN_WORDS) -> DataFrame:

@@ -3,12 +3,13 @@
 A text is a bag of passages of PASSAGE bytes. A passage is described by its character shapes (pairs of byte classes and
 a few shares), encoded by one hidden layer; a gated attention (tanh times sigmoid) gives each passage a weight, and the
 weighted sum of the encodings is scored. Encoder, gates and score are learned together from document labels alone, in
-numpy, on at most `max_train` documents (smallest hash of doc_id), of which at most TRAIN_PASSAGES evenly spaced
-passages are used in training; scoring uses every passage of every text.
+numpy, on a bounded sample of labelled documents (`max_train` rows and `train_bytes` of text at most, smallest hash),
+each with all its passages; scoring uses every passage of every text.
 
 Only documents whose crc32(doc_id as text) modulo 3 is not 1 are learned from; labels, lang, source and doc_id are not
-inputs. Edge cases: null and empty texts are one empty passage; without labels of both kinds every score is 0.5; equal
-texts get equal scores; repeated rows give repeated results; an empty table gives an empty result; extra columns are
+inputs. Edge cases: null and empty texts are one empty passage; a very long text has as many passages as it needs and is
+handled alone; without labels of both kinds every score is 0.5; equal texts get equal scores, of equal weights the first
+passage is the top one; repeated rows give repeated results; an empty table gives an empty result; extra columns are
 ignored.
 """
 
@@ -24,8 +25,7 @@ from pyspark.sql import functions as F
 from . import common as C
 
 PASSAGE = 1024
-MAX_TRAIN = 4000
-TRAIN_PASSAGES = 48
+MAX_TRAIN, TRAIN_BYTES = 4000, 16 << 20
 HIDDEN, GATES = 24, 12
 
 RESULT = "doc_id long, held_out boolean, score double, predicted int, n_passages long, top_passage long"
@@ -135,27 +135,25 @@ def fit(x: np.ndarray, many: np.ndarray, y: np.ndarray, steps: int = 800, batch:
     return model
 
 
-def train(documents: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> AttentionModel | None:
-    """Fit on a bounded sample of the labelled documents outside the held-out fold."""
+def train(documents: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, train_bytes: int = TRAIN_BYTES) -> AttentionModel | None:
+    """Fit on a bounded sample of the labelled documents outside the held-out fold; a doc_id with several labels has the highest."""
     known = labels.where("doc_id is not null and quality is not null").where(C.crc_mod("doc_id", 3) != 1)
-    some = C.smallest_by_hash(known.groupBy("doc_id").agg(F.max("quality").alias("quality")), F.xxhash64("doc_id"), max_train)
+    known = known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("quality").cast("double")).alias("label"))
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offs in C.text_chunks(batches):
             x, many = passages(data, offs)
-            first = np.concatenate(([0], np.cumsum(many)))
-            bags = []
-            for i, k in enumerate(many.tolist()):
-                pick = first[i] + (np.arange(k) if k <= TRAIN_PASSAGES else np.linspace(0, k - 1, TRAIN_PASSAGES).astype(np.int64))
-                bags.append(x[pick].astype(np.float16).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bags, pa.binary())], ["quality", "bag"])
-
-    rows = documents.select("doc_id", "text").join(F.broadcast(some), "doc_id").select("quality", "text").mapInArrow(describe, f"quality {dict(labels.dtypes)['quality']}, bag binary").collect()
-    if len({r.quality > 0 for r in rows}) < 2:
+            cut = np.concatenate(([0], np.cumsum(many)))
+            bags = [x[a:b].astype(np.float16).tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bags, pa.binary())], ["label", "bag"])
+
+    source = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows = C.training_texts(source, known, max_train, train_bytes).mapInArrow(describe, "label double, bag binary").collect()
+    if len({r.label > 0 for r in rows}) < 2:
         return None
-    rows.sort(key=lambda r: (r.quality, bytes(r.bag)))
+    rows.sort(key=lambda r: (r.label, bytes(r.bag)))
     each = [np.frombuffer(bytes(r.bag), np.float16).reshape(-1, WIDTH) for r in rows]
-    return fit(np.concatenate(each).astype(np.float32), np.array([len(e) for e in each]), np.array([float(r.quality > 0) for r in rows], np.float32))
+    return fit(np.concatenate(each).astype(np.float32), np.array([len(e) for e in each]), np.array([float(r.label > 0) for r in rows], np.float32))
 
 
 def score(documents: DataFrame, model: AttentionModel | None) -> DataFrame:

@@ -1,8 +1,8 @@
 """WARC writer with a shared Zstandard dictionary.
 
 Every file starts with a skippable frame (magic 0x184D2A5D) that embeds the dictionary; each record is one frame
-compressed with it. The dictionary is trained on a bounded sample of the records to be archived (SAMPLES pages of
-smallest hash, at most SAMPLE_BYTES of each). Of records with equal payloads that with the smallest page_id is a
+compressed with it. The dictionary is trained on a bounded sample of the records to be archived (SAMPLES different payloads
+of smallest hash, the first SAMPLE_BYTES of each, which is more than a dictionary can hold). Of records with equal payloads that with the smallest page_id is a
 response, the others are revisits that name it; payloads below `least_bytes` are always responses.
 
 Files are written by Spark's committer, one row for each file: the line feed that it puts behind a row is the content of
@@ -113,8 +113,9 @@ def write(pages: DataFrame, path: str, least_bytes: int = 0, file_bytes: int = F
     """Archive all pages in files under `path`."""
     source = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce(F.encode("html", "UTF-8"), F.lit(b"")).alias("payload"))
     firsts = _first_of_digest(source, least_bytes)
-    sample = C.smallest_by_hash(source.select(F.substring("payload", 1, SAMPLE_BYTES).alias("payload"), F.xxhash64("page_id", "url").alias("h")), F.col("h"), SAMPLES).collect()
-    raw = train_dictionary([record(None, None, bytes(r.payload), None) for r in sorted(sample, key=lambda r: (r.h, bytes(r.payload)))])
+    ids = C.smallest_by_hash(source.select(F.xxhash64("payload").alias("h")), ["h"], SAMPLES)
+    sample = source.withColumn("h", F.xxhash64("payload")).join(F.broadcast(ids), "h").groupBy("h").agg(F.min(F.substring("payload", 1, SAMPLE_BYTES)).alias("payload"))
+    raw = train_dictionary([record(None, None, bytes(r.payload), None) for r in sorted(sample.collect(), key=lambda r: (r.h, bytes(r.payload)))])
     shared = pages.sparkSession.sparkContext.broadcast(raw)  # at most DICT_BYTES
 
     def files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -52,6 +52,60 @@ def test_viterbi_is_the_best_path():
         at += n
 
 
+def plain_viterbi(score, moves, start):
+    best = [[start[0], start[1] + score[0]]]
+    came = []
+    for s in score[1:]:
+        ways = [[best[-1][a] + moves[a, b] for a in (0, 1)] for b in (0, 1)]
+        came.append([int(w[1] > w[0]) for w in ways])
+        best.append([max(ways[0]), max(ways[1]) + s])
+    out = [int(best[-1][1] > best[-1][0])]
+    for c in reversed(came):
+        out.append(c[out[-1]])
+    return out[::-1]
+
+
+def test_lines_are_labelled_and_decide(spark):
+    from pyspark.sql import functions as F
+
+    big = "/root/testdata/sf0.01" if os.path.isdir("/root/testdata/sf0.01") else D
+    documents, labels = spark.read.parquet(f"{big}/documents.parquet"), spark.read.parquet(f"{big}/labels.parquet")
+    chain = line_crf.train(documents, labels)
+    texts = {r.doc_id: r.text for r in documents.select("doc_id", "text").collect()}
+    rows = line_crf.judge(documents, chain).collect()
+    assert sum(0 < r.content_words < r.n_words for r in rows) > 20
+    for r in rows:
+        data = (texts[r.doc_id] or "").encode()
+        got = line_crf.measure(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
+        label = plain_viterbi((got["x"] @ chain.weights).tolist(), chain.moves, chain.start) if len(got["x"]) else []
+        content = sum(int(n) for n, k in zip(got["line_words"], label, strict=True) if not k)
+        assert r.content_words == content and r.kept == (not r.base_failed and content >= 0.5 * r.n_words)
+    truth = {r.doc_id: r.quality for r in labels.where(F.col("quality").isNotNull()).collect()}
+    told = [(truth[r.doc_id], r.kept) for r in rows if r.doc_id in truth and not r.base_failed]
+    assert np.mean([bool(a) == b for a, b in told]) > 0.97
+    prose = [t.split("\n") for i, t in texts.items() if truth.get(i) == 1 and t.count("\n") > 4 and t.count(" ") > 200][0][:6]
+    junk = " ".join(w.upper() + "!!" for w in prose[1].split()), " | ".join(prose[2].lower().split())
+    mixed = "\n".join([*prose[:3], *junk, *prose[3:]]).encode()
+    got = line_crf.measure(np.frombuffer(mixed, np.uint8), np.array([0, len(mixed)]))
+    assert chain.decode(got["x"], got["lines"]).tolist() == [0, 0, 0, 1, 1, 0, 0, 0]
+
+
+def test_training_samples_are_bounded(spark):
+    from pyspark.sql import functions as F
+
+    from pressmill.llm import common
+
+    one = spark.range(100_000).select(F.lit(7).cast("long").alias("doc_id"), F.lit("the same text of the town").alias("text"))
+    many = spark.range(100_000).select(F.lit(8).cast("long").alias("doc_id"), F.concat(F.lit("text number "), F.col("id")).alias("text"))
+    known = spark.createDataFrame([(7, 1.0), (8, 0.0), (9, 1.0)], "doc_id long, label double")
+    rows = common.training_texts(one.union(many), known, 50, 400).collect()
+    assert 1 <= len(rows) <= 50 and sum(len(r.text) for r in rows) <= 400 and len({r.text for r in rows}) == len(rows)
+    assert {r.text for r in common.training_texts(one, known, 50, 400).collect()} == {"the same text of the town"}
+    assert common.smallest_by_hash(one.union(many), ["doc_id"], 5).count() == 2 and common.smallest_by_hash(many, ["text"], 5).count() == 5
+    languages = one.union(many).withColumn("lang", F.lit("en"))
+    assert lang_cnn.train(languages, max_train=20).names == ["en"]
+
+
 def test_near_dedup_classes(spark, docs):
     got = {r.doc_id: r.class_id for r in queries.op10_near_dedup(spark, D).collect()}
     first = {}
