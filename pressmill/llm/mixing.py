@@ -11,7 +11,8 @@ The two apportionments run on the driver over one small row per source and per s
 or more where there would be over MAX_SHARDS shards. Everything else is windows and joins on (source, shard).
 
 Edge cases: a null text has size 0; rows of size 0 take nothing; null is a source of its own; null doc_ids take part;
-repeated rows are separate rows in a stable order; a source of no words gets no block; an empty table gives an empty
+repeated rows are separate rows that spread over the shards, equal ones interchangeable; a very long text is one row like
+any other; of equal quotients the earlier source or shard is served first; a source of no words gets no block; an empty table gives an empty
 result; extra columns are ignored.
 """
 
@@ -98,11 +99,38 @@ def plan(shards: list[tuple[str | None, int, int]], block_words: int = BLOCK_WOR
     return out
 
 
+def _places(rows: DataFrame, keys: list[str], piece: str, row: str, out: str) -> DataFrame:
+    """rows with `out`: how many rows with the same keys stand before, counted within each piece and then over the pieces, so that a hot key is no single task."""
+    inside = F.row_number().over(Window.partitionBy(*keys, piece).orderBy(row)) - 1
+    names = {k: f"_{n}_of_piece" for n, k in enumerate([*keys, piece])}
+    pieces = rows.groupBy(*[F.col(f"`{k}`").alias(v) for k, v in names.items()]).agg(F.count("*").alias("_rows_of_piece"))
+    lead = Window.partitionBy(*[names[k] for k in keys]).orderBy(names[piece]).rowsBetween(Window.unboundedPreceding, -1)
+    pieces = C.materialize(pieces.withColumn("_lead_of_piece", F.coalesce(F.sum("_rows_of_piece").over(lead), F.lit(0))), "pieces")
+    same = None
+    for k, v in names.items():
+        equal = F.col(f"`{k}`").eqNullSafe(F.col(v))
+        same = equal if same is None else same & equal
+    return rows.withColumn(out, inside).join(pieces, same).withColumn(out, F.col(out) + F.col("_lead_of_piece")).drop(*names.values(), "_rows_of_piece", "_lead_of_piece")
+
+
+def _numbered(sized: DataFrame) -> DataFrame:
+    """sized (a table) with nth: 0 for the first of equal rows, 1 for the next, so that repeats spread over the shards."""
+    keys = ["doc_id", "source", "text_key"]
+    twice = C.materialize(sized.groupBy(*keys).count().where("count > 1").select(*[F.col(k).alias(f"_{k}") for k in keys]), "twice")
+    if not twice.limit(1).count():
+        return sized.withColumn("nth", F.lit(0).cast("long"))
+    same = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & F.col("source").eqNullSafe(F.col("_source")) & F.col("text_key").eqNullSafe(F.col("_text_key"))
+    once = sized.join(twice, same, "left_anti").withColumn("nth", F.lit(0).cast("long"))
+    again = sized.join(twice, same, "left_semi").withColumn("piece", F.spark_partition_id()).withColumn("row", F.monotonically_increasing_id())
+    again = _places(C.materialize(again, "repeats"), keys, "piece", "row", "nth").select(*sized.columns, F.col("nth").cast("long").alias("nth"))
+    return C.materialize(once.unionByName(again), "numbered")
+
+
 def mix(documents: DataFrame, block_words: int = BLOCK_WORDS, shard_rows: int = SHARD_ROWS, seed: int = SEED) -> DataFrame:
     """One row per document row: doc_id, source, size, source_size, target, taken, and text_key (a hash that tells rows of one doc_id apart)."""
     spark = documents.sparkSession
     sized = documents.select("doc_id", F.col("source").cast("string").alias("source"), F.when(F.col("text").isNull(), 0).otherwise(F.regexp_count("text", F.lit(C.WORD))).cast("long").alias("size"), F.xxhash64("text").alias("text_key"))
-    sized = C.materialize(sized, "sized")
+    sized = _numbered(C.materialize(sized, "sized"))
     rows = sized.groupBy("source").count().collect()
     shard_rows = max(shard_rows, sum(r["count"] for r in rows) // MAX_SHARDS)
     deal = {r["source"]: max(1, -(-r["count"] // shard_rows)) for r in rows}
@@ -110,8 +138,8 @@ def mix(documents: DataFrame, block_words: int = BLOCK_WORDS, shard_rows: int =
         return sized.select("doc_id", "source", "size", F.col("size").alias("source_size"), F.lit(0.0).alias("target"), F.col("size").alias("taken"), "text_key")
     # the number of shards and later the quotas are tables of one row per source or shard, joined null-safe
     many = spark.createDataFrame([(s, n) for s, n in deal.items()], "s string, n long")
-    place = F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text_key"), F.col("size"))
-    dealt = sized.join(many, F.col("source").eqNullSafe(F.col("s"))).select("doc_id", "source", "size", "text_key", place.alias("place"), F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id", "text_key"), "n").alias("shard"))
+    place = F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text_key"), F.col("size"), F.col("nth"))
+    dealt = sized.join(many, F.col("source").eqNullSafe(F.col("s"))).select("doc_id", "source", "size", "text_key", place.alias("place"), F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id", "text_key", "nth"), "n").alias("shard"))
     shards = [(r["source"], r["shard"], r["words"]) for r in dealt.groupBy("source", "shard").agg(F.sum("size").alias("words")).collect()]
     quota = spark.createDataFrame(plan(shards, block_words, CAP, seed), "s string, h long, source_size long, target double, every long, rest long, first long, blocks long")
     order = Window.partitionBy("source", "shard").orderBy("place", "doc_id", "text_key", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -126,17 +154,25 @@ def mix(documents: DataFrame, block_words: int = BLOCK_WORDS, shard_rows: int =
 
 
 def apply_mix(documents: DataFrame, **options: int) -> DataFrame:
-    """The rows of documents as often as the mix takes them: taken / size, rounded half up, so a row cut by a block's edge is whole or left out."""
-    taken = mix(documents, **options).where("2 * taken >= size and taken > 0")
-    # rows that repeat doc_id and text share one line here: their copies are added up, then given to one of them
-    times = C.materialize(taken.select("doc_id", "text_key", F.expr("(2 * taken + size) div (2 * size)").alias("times"), F.col("source").alias("s")), "times")
-    times = times.groupBy("doc_id", "text_key", "s").agg(F.sum("times").alias("times"), F.count("*").alias("n"))
+    """The rows of documents as often as the mix takes them: taken / size, rounded half up, so a row cut by a block's edge is whole or left out.
+
+    Rows that repeat doc_id, text and source are alike to the mix, whatever their other columns: their copies are added up and
+    dealt to them evenly.
+    """
+    taken = mix(documents, **options)
+    times = taken.select("doc_id", "text_key", F.col("source").alias("s"), F.when(F.expr("2 * taken >= size and taken > 0"), F.expr("(2 * taken + size) div (2 * size)")).otherwise(F.lit(0)).alias("times"))
+    times = times.groupBy("doc_id", "text_key", "s").agg(F.sum("times").alias("times"), F.count("*").alias("n")).where("times > 0")
     times = C.materialize(times, "copies")
     cols = documents.columns
-    new = {n: C.free_name(n, cols) for n in ("key", "owner", "id", "k", "o", "times", "copy")}
+    new = {n: C.free_name(n, cols) for n in ("key", "owner", "id", "k", "o", "times", "n", "slice", "row", "before", "copy")}
     keyed = documents.withColumn(new["key"], F.xxhash64("text")).withColumn(new["owner"], F.col("source").cast("string"))
-    t = times.select(F.col("doc_id").alias(new["id"]), F.col("text_key").alias(new["k"]), F.col("s").alias(new["o"]), F.col("times").alias(new["times"]))
-    if times.where("n > 1").limit(1).count():
-        keyed = keyed.dropDuplicates(["doc_id", new["key"], new["owner"]])
+    t = times.select(F.col("doc_id").alias(new["id"]), F.col("text_key").alias(new["k"]), F.col("s").alias(new["o"]), F.col("times").alias(new["times"]), F.col("n").alias(new["n"]))
     on = F.col("doc_id").eqNullSafe(F.col(new["id"])) & F.col(new["key"]).eqNullSafe(F.col(new["k"])) & F.col(new["owner"]).eqNullSafe(F.col(new["o"]))
-    return keyed.join(t.hint("merge"), on).withColumn(new["copy"], F.explode(F.sequence(F.lit(1), F.col(new["times"]).cast("int")))).select(*[F.col(f"`{c}`") for c in cols])
+    chosen = keyed.join(t.hint("merge"), on)
+    if times.where("n > 1").limit(1).count():
+        again = C.materialize(chosen.where(F.col(new["n"]) > 1).withColumn(new["slice"], F.spark_partition_id()).withColumn(new["row"], F.monotonically_increasing_id()), "repeats")
+        again = _places(again, [new["id"], new["k"], new["o"]], new["slice"], new["row"], new["before"])
+        share = F.expr(f"`{new['times']}` div `{new['n']}`") + F.when(F.col(new["before"]) < F.expr(f"`{new['times']}` % `{new['n']}`"), 1).otherwise(0)
+        again = again.withColumn(new["times"], share).where(F.col(new["times"]) > 0).select(*chosen.columns)
+        chosen = chosen.where(F.col(new["n"]) == 1).unionByName(again)
+    return chosen.withColumn(new["copy"], F.explode(F.sequence(F.lit(1), F.col(new["times"]).cast("int")))).select(*[F.col(f"`{c}`") for c in cols])

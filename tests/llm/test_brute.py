@@ -336,6 +336,32 @@ def test_shared_secrets_are_examples(spark):
     assert all(got[k].spans == "" for k in range(4)) and got[9].spans == f"vendor:5:{5 + len(own)}" and got[9].n_live == 1
 
 
+def test_repositories_decide_too(spark):
+    from pressmill.llm import secret_scan
+
+    two = "ghp_" + "a1B2c3D4e5" * 4
+    one = "ghp_" + "q1W2e3R4t5" * 4
+    rows = [(k, f"use {two} here", f"owner{k % 2}") for k in range(secret_scan.EXAMPLE_REPOSITORIES)] + [(100 + k, f"mine {one} x", "owner9") for k in range(30)]
+    got = {r.doc_id: r for r in secret_scan.scan(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert got[0].spans == "" and got[0].n_live == 0
+    assert got[100].n_live == got[100].n_shared == 1 and got[100].repositories_most == 30
+    few = {r.doc_id: r for r in secret_scan.scan(spark.createDataFrame(rows[:4], "doc_id long, text string, source string")).collect()}
+    assert few[0].n_live == 1 and few[0].n_shared == 0 and few[0].owners_least == 2
+
+
+def test_repeated_rows_keep_their_other_columns(spark):
+    rows = [(1, "one two three " * 20, "a", f"row{k}") for k in range(40)] + [(k, f"text {k} " * 30, "b", "x") for k in range(2, 9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, extra string")
+    for seed in (1, 2):
+        taken = Counter()
+        for r in mixing.mix(df, seed=seed).collect():
+            taken[r.doc_id] += (2 * r.taken + r.size) // (2 * r.size) if 2 * r.taken >= r.size and r.taken else 0
+        got = Counter((r.doc_id, r.extra) for r in mixing.apply_mix(df, seed=seed).collect())
+        assert {i: sum(n for (j, _), n in got.items() if j == i) for i in taken if taken[i]} == {i: n for i, n in taken.items() if n}
+        mine = [n for (i, _), n in got.items() if i == 1]
+        assert len(mine) == min(40, taken[1]) and max(mine) - min(mine) <= 1
+
+
 def test_archives(spark):
     import base64
 
