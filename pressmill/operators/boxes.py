@@ -11,10 +11,21 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .pages import by_group
+
+# What the detector calls a box, and the class of the region that it becomes.
 CLASSES = {
-    "title": "title", "plain text": "text", "text": "text", "figure": "figure", "figure_caption": "text", "table": "table", "table_caption": "text", "table_footnote": "text",
-    "isolate_formula": "text", "formula_caption": "text",
-}
+    "plain text": "text",
+    "text": "text",
+    "title": "title",
+    "figure": "figure",
+    "table": "table",
+    "figure_caption": "text",
+    "table_caption": "text",
+    "table_footnote": "text",
+    "isolate_formula": "text",
+    "formula_caption": "text",
+}
 KEPT_CLASSES = ("figure", "table", "text", "abandon")
 
 
@@ -124,49 +135,62 @@ def fill_column_gaps(df: DataFrame) -> DataFrame:
 def merge_column_boxes(df: DataFrame, multiplier: float = 1.5) -> DataFrame:
     """Neighbours of one class in a column grow together while the result is at most column_width * multiplier high; figures, tables and column 0 stay.
 
-    The height test looks at the box merged so far, so a page's column is folded in one task (pages hold tens of boxes).
+    The height test looks at the box merged so far, so a page's column is folded in order (pages hold tens of boxes).
     """
 
-    def fold(part: pd.DataFrame) -> pd.DataFrame:
-        rows, open_at = [], None
-        for row in part.sort_values("reading_order").to_dict("records"):
-            alone = row["class"] in ("figure", "table")
-            if alone:
-                open_at = None
-            if alone or row["column_number"] == 0:
-                rows.append(row)
-                continue
-            if open_at is not None:
-                held = rows[open_at]
-                top, bottom = min(held["y1"], row["y1"]), max(held["y2"], row["y2"])
-                if held["class"] == row["class"] and bottom - top <= row["column_width"] * multiplier:
-                    x1, x2 = min(held["x1"], row["x1"]), max(held["x2"], row["x2"])
-                    held |= {"x1": x1, "x2": x2, "y1": top, "y2": bottom, "center_x": (x1 + x2) / 2, "center_y": (top + bottom) / 2}
+    def fold(part: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
+        kind, column, limit = part["class"].tolist(), part["column_number"].tolist(), (part["column_width"].astype(float) * multiplier).tolist()
+        x1, y1, x2, y2 = (part[c].tolist() for c in ("x1", "y1", "x2", "y2"))
+        kept, grown, into, begins = [], set(), None, set(starts.tolist())
+        for i in range(len(part)):
+            if i in begins:
+                into = None
+            if kind[i] in ("figure", "table"):
+                into = None
+            elif column[i] != 0:
+                if into is not None and kind[into] == kind[i] and max(y2[into], y2[i]) - min(y1[into], y1[i]) <= limit[i]:
+                    x1[into], y1[into] = min(x1[into], x1[i]), min(y1[into], y1[i])
+                    x2[into], y2[into] = max(x2[into], x2[i]), max(y2[into], y2[i])
+                    grown.add(into)
                     continue
-            rows.append(row)
-            open_at = len(rows) - 1
-        return pd.DataFrame(rows, columns=part.columns)
+                into = i
+            kept.append(i)
+        out = _kept(part, kept, {"x1": x1, "y1": y1, "x2": x2, "y2": y2})
+        new = np.array([i in grown for i in kept], bool)
+        for middle, low, high in (("center_x", "x1", "x2"), ("center_y", "y1", "y2")):
+            out[middle] = np.where(new, (out[low].astype(float) + out[high].astype(float)) / 2, out[middle].astype(float))
+        return out
+
+    return by_group(df, ["page_id", "column_number"], ["reading_order"], fold, df.schema)
+
 
-    return df.groupBy("page_id", "column_number").applyInPandas(fold, df.schema)
+def _kept(part: pd.DataFrame, rows: list[int], new: dict[str, list]) -> pd.DataFrame:
+    """The chosen rows of part with new values in some columns."""
+    out = part.iloc[rows].reset_index(drop=True)
+    for column, values in new.items():
+        out[column] = [values[i] for i in rows]
+    return out
 
 
 def merge_overlapping(df: DataFrame, share: float = 0.5) -> DataFrame:
     """Neighbours in reading order that share at least half of the smaller height become one box."""
 
-    def fold(part: pd.DataFrame) -> pd.DataFrame:
-        rows: list[dict] = []
-        for row in part.sort_values("reading_order").to_dict("records"):
-            held = rows[-1] if rows else None
-            if held:
-                common = min(held["y2"], row["y2"]) - max(held["y1"], row["y1"])
-                least = min(held["y2"] - held["y1"], row["y2"] - row["y1"])
-                if least > 0 and common / least >= share and held["class"] == row["class"]:
-                    held |= {"x1": min(held["x1"], row["x1"]), "y1": min(held["y1"], row["y1"]), "x2": max(held["x2"], row["x2"]), "y2": max(held["y2"], row["y2"])}
+    def fold(part: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
+        kind = part["class"].tolist()
+        x1, y1, x2, y2 = (part[c].tolist() for c in ("x1", "y1", "x2", "y2"))
+        kept, begins = [], set(starts.tolist())
+        for i in range(len(part)):
+            if i not in begins:
+                k = kept[-1]
+                least = min(y2[k] - y1[k], y2[i] - y1[i])
+                if kind[k] == kind[i] and least > 0 and min(y2[k], y2[i]) - max(y1[k], y1[i]) >= share * least:
+                    x1[k], y1[k] = min(x1[k], x1[i]), min(y1[k], y1[i])
+                    x2[k], y2[k] = max(x2[k], x2[i]), max(y2[k], y2[i])
                     continue
-            rows.append(row)
-        return pd.DataFrame(rows, columns=part.columns)
+            kept.append(i)
+        return _kept(part, kept, {"x1": x1, "y1": y1, "x2": x2, "y2": y2})
 
-    return df.groupBy("page_id", "column_number").applyInPandas(fold, df.schema)
+    return by_group(df, ["page_id", "column_number"], ["reading_order"], fold, df.schema)
 
 
 COVERAGE = "page_id long, text_coverage_pixels long, text_overlap_pixels long, text_image_overlap long, total_covered_pixels long, total_overlap long, maximum_print_area long, perc_print_area_overlap double, perc_print_area_coverage double"
@@ -175,23 +199,27 @@ COVERAGE = "page_id long, text_coverage_pixels long, text_overlap_pixels long, t
 def page_coverage(df: DataFrame) -> DataFrame:
     """How many pixels text boxes, figures and both cover, by a grid of the distinct edges instead of pixels. Needs the print area columns."""
 
-    def one(part: pd.DataFrame) -> pd.DataFrame:
-        first = part.iloc[0]
-        edges = {e: (part[e] - first["print_x1" if e[0] == "x" else "print_y1"]).astype(int).clip(0).to_numpy() for e in ("x1", "x2", "y1", "y2")}
-        for e in edges:
-            edges[e] = np.minimum(edges[e], int(first["print_width" if e[0] == "x" else "print_height"]))
-        xs, ys = (np.unique(np.concatenate((edges[f"{a}1"], edges[f"{a}2"]))) for a in "xy")
-        counts = np.zeros((2, len(ys), len(xs)), np.int64)
-        for kind, x1, x2, y1, y2 in zip((part["class"] == "figure").astype(int), edges["x1"], edges["x2"], edges["y1"], edges["y2"], strict=True):
-            a, b, c, d = np.searchsorted(xs, x1), np.searchsorted(xs, x2), np.searchsorted(ys, y1), np.searchsorted(ys, y2)
-            counts[kind, c:d, a:b] += 1
-        size = np.outer(np.diff(ys, append=ys[-1]), np.diff(xs, append=xs[-1]))
-        text, image = counts
-        total = lambda flag: int(size[flag].sum())
-        over, covered, whole = total(text + image > 1), total(text + image > 0), int(first["print_area"])
-        return pd.DataFrame([[first["page_id"], total(text > 0), total(text > 1), total((text > 0) & (image > 0)), covered, over, whole, round(over / whole, 2) if whole else 0.0, round(covered / whole, 2) if whole else 0.0]], columns=[x.split()[0] for x in COVERAGE.split(", ")])
-
-    return df.groupBy("page_id").applyInPandas(one, COVERAGE)
+    def measure(part: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
+        inside = lambda e, low, size: np.clip(np.trunc(part[e].to_numpy(float) - part[low].to_numpy(float)), 0, part[size].to_numpy(float)).astype(np.int64)
+        x1, x2 = (inside(e, "print_x1", "print_width") for e in ("x1", "x2"))
+        y1, y2 = (inside(e, "print_y1", "print_height") for e in ("y1", "y2"))
+        figure, pages, areas = (part["class"] == "figure").to_numpy(), part["page_id"].tolist(), part["print_area"].tolist()
+        rows = []
+        for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(part)], strict=True):
+            xs, ys = np.unique(np.concatenate((x1[a:b], x2[a:b]))), np.unique(np.concatenate((y1[a:b], y2[a:b])))
+            # counts of boxes in each cell of the grid of edges, as a product of what each box covers along both sides
+            along_x = (xs[None, :-1] >= x1[a:b, None]) & (xs[None, :-1] < x2[a:b, None])
+            along_y = (ys[None, :-1] >= y1[a:b, None]) & (ys[None, :-1] < y2[a:b, None])
+            size, image = np.outer(np.diff(ys), np.diff(xs)), figure[a:b]
+            texts = along_y[~image].T.astype(np.float32) @ along_x[~image].astype(np.float32)
+            images = along_y[image].T.astype(np.float32) @ along_x[image].astype(np.float32)
+            total = lambda flag: int(size[flag].sum())  # noqa: B023, E731
+            over, covered, whole = total(texts + images > 1), total(texts + images > 0), int(areas[a])
+            shares = (round(over / whole, 2), round(covered / whole, 2)) if whole else (0.0, 0.0)
+            rows.append((pages[a], total(texts > 0), total(texts > 1), total((texts > 0) & (images > 0)), covered, over, whole, *shares))
+        return pd.DataFrame(rows, columns=[x.split()[0] for x in COVERAGE.split(", ")])
+
+    return by_group(df, ["page_id"], [], measure, COVERAGE)
 
 
 def interval_clusters(df: DataFrame, group: str, start: str, stop: str, key: list[str]) -> DataFrame:
