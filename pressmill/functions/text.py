@@ -69,8 +69,13 @@ def filled_parts(text: Column, separator: str) -> Column:
 
 def fragment_share(text: Column) -> Column:
     """Share of the tokens with letters that have at most three of them; 0 below three such tokens."""
-    sizes = F.filter(F.transform(F.split(text, r"\s+"), lambda w: F.length(F.regexp_replace(w, r"[^\p{L}]", ""))), lambda n: n > 0)
-    return F.when(F.size(sizes) < 3, F.lit(0.0)).otherwise(F.size(F.filter(sizes, lambda n: n <= 3)) / F.size(sizes))
+    letters = F.regexp_replace(text, r"[^\p{L}\s]", "")
+    tokens = F.split(letters, r"\s+")
+    add = lambda so_far, w: F.struct(
+        (so_far["all"] + (w != "").cast("int")).alias("all"), (so_far["short"] + F.length(w).between(1, 3).cast("int")).alias("short")
+    )
+    share = lambda n: F.when(n["all"] < 3, F.lit(0.0)).otherwise(n["short"] / n["all"])
+    return F.aggregate(tokens, F.struct(F.lit(0).alias("all"), F.lit(0).alias("short")), add, share)
 
 
 def is_layout_json(raw: Column) -> Column:

@@ -81,14 +81,19 @@ def dendrogram(df: DataFrame, key: str, vector: str) -> DataFrame:
     return df.select(key, vector).groupBy().applyInPandas(one, f"{key} {dict(df.dtypes)[key]}, place long")
 
 
+def _hash(key: str, seed: int) -> F.Column:
+    """32 bits of the md5 of seed and key, as other engines have it too."""
+    return F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}|"), F.col(key).cast("string"))), 1, 8), 16, 10).cast("long")
+
+
 def sample_by_hash(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
     """n rows, the same for the same seed whatever the partitioning."""
-    return df.orderBy(F.xxhash64(F.lit(seed), key), key).limit(n)
+    return df.orderBy(_hash(key, seed), key).limit(n)
 
 
 def split_by_hash(df: DataFrame, key: str, share: float, seed: int) -> DataFrame:
     """is_train: a share of the keys by hash; all rows of a key on one side."""
-    return df.withColumn("is_train", F.pmod(F.xxhash64(F.lit(seed), key), F.lit(1000)) < int(share * 1000))
+    return df.withColumn("is_train", _hash(key, seed) % 1000 < int(share * 1000))
 
 
 def batch_numbers(df: DataFrame, group: str, order: list[str], size: int = 100) -> DataFrame:

@@ -130,6 +130,29 @@ def merge_overlapping_boxes(spark, d):
     return B.merge_overlapping(_ordered(spark, d)).select("page_id", "column_number", "class", "reading_order", *_near("x1", "y1", "x2", "y2"))
 
 
+def _folded(source, fits, grows):
+    """Boxes of a page's column folded in order: state holds the open box, a step takes the next row and starts a group where it doesn't fit."""
+    return f"""rows AS (SELECT *, row_number() OVER (PARTITION BY page_id, column_number ORDER BY reading_order) AS n FROM {source}),
+folded AS (
+  SELECT page_id, column_number, n, reading_order AS lead_order, class, x1, y1, x2, y2 FROM rows WHERE n = 1
+  UNION ALL
+  SELECT r.page_id, r.column_number, r.n, CASE WHEN {fits} THEN f.lead_order ELSE r.reading_order END, r.class,
+    CASE WHEN {fits} THEN least(f.x1, r.x1) ELSE r.x1 END, CASE WHEN {fits} THEN least(f.y1, r.y1) ELSE r.y1 END,
+    CASE WHEN {fits} THEN greatest(f.x2, r.x2) ELSE r.x2 END, CASE WHEN {fits} THEN greatest(f.y2, r.y2) ELSE r.y2 END
+  FROM folded f JOIN rows r ON r.page_id = f.page_id AND r.column_number = f.column_number AND r.n = f.n + 1
+)
+SELECT page_id, column_number, class, lead_order AS reading_order, {grows} FROM folded QUALIFY row_number() OVER (PARTITION BY page_id, column_number, lead_order ORDER BY n DESC) = 1"""
+
+
+_SIDES = ", ".join(f"round({c}, 6) AS {c}" for c in ("x1", "y1", "x2", "y2"))
+MERGE_COLUMN_BOXES = "WITH RECURSIVE " + ADJUSTED + ", sized AS (SELECT *, print_width::DOUBLE / column_counts AS column_width FROM adjusted), " + _folded(
+    "sized", "r.column_number <> 0 AND r.class NOT IN ('figure', 'table') AND f.class = r.class AND greatest(f.y2, r.y2) - least(f.y1, r.y1) <= r.column_width * 1.5", _SIDES
+)
+MERGE_OVERLAPPING_BOXES = "WITH RECURSIVE " + ORDERED + ", " + _folded(
+    "ordered", "f.class = r.class AND least(f.y2 - f.y1, r.y2 - r.y1) > 0 AND least(f.y2, r.y2) - greatest(f.y1, r.y1) >= 0.5 * least(f.y2 - f.y1, r.y2 - r.y1)", _SIDES
+)
+
+
 def postprocess_boxes(spark, d):
     return B.postprocess(boxes(spark, d), KEY).select("page_id", "box_page_id", "class", "reading_order", *_near("x1", "y1", "x2", "y2"))
 
@@ -138,6 +161,20 @@ def page_coverage(spark, d):
     return B.page_coverage(B.print_area(boxes(spark, d)))
 
 
+# strips between neighbouring edges of a page; in each, running counts over the lower and upper edges of the boxes that cross it
+PAGE_COVERAGE = f"""WITH {METRICS}, cut AS (SELECT page_id, class = 'figure' AS image, print_width * print_height AS whole,
+  least(greatest(trunc(x1 - print_x1), 0), print_width) AS a, least(greatest(trunc(x2 - print_x1), 0), print_width) AS b, least(greatest(trunc(y1 - print_y1), 0), print_height) AS c, least(greatest(trunc(y2 - print_y1), 0), print_height) AS d FROM metrics),
+edges AS (SELECT DISTINCT page_id, unnest([a, b]) AS x FROM cut), strips AS (SELECT page_id, x, lead(x) OVER (PARTITION BY page_id ORDER BY x) AS x_next FROM edges),
+events AS (SELECT s.page_id, s.x, s.x_next - s.x AS wide, unnest([k.c, k.d]) AS y, unnest([1, -1]) * CASE WHEN k.image THEN 0 ELSE 1 END AS t, unnest([1, -1]) * CASE WHEN k.image THEN 1 ELSE 0 END AS i
+  FROM strips s JOIN cut k ON k.page_id = s.page_id AND k.a <= s.x AND k.b > s.x WHERE s.x_next IS NOT NULL),
+summed AS (SELECT page_id, x, wide, y, sum(t) AS t, sum(i) AS i FROM events GROUP BY ALL),
+state AS (SELECT page_id, wide * (lead(y) OVER o - y) AS area, sum(t) OVER o AS t, sum(i) OVER o AS i FROM summed WINDOW o AS (PARTITION BY page_id, x ORDER BY y)),
+total AS (SELECT page_id, sum(area) FILTER (WHERE t > 0) AS text, sum(area) FILTER (WHERE t > 1) AS twice, sum(area) FILTER (WHERE t > 0 AND i > 0) AS shared, sum(area) FILTER (WHERE t + i > 0) AS covered, sum(area) FILTER (WHERE t + i > 1) AS multi FROM state GROUP BY page_id),
+pages AS (SELECT DISTINCT page_id, whole FROM cut), full_total AS (SELECT page_id, whole, coalesce(text, 0) AS text, coalesce(twice, 0) AS twice, coalesce(shared, 0) AS shared, coalesce(covered, 0) AS covered, coalesce(multi, 0) AS multi FROM pages LEFT JOIN total USING (page_id))
+SELECT page_id, CAST(text AS BIGINT) AS text_coverage_pixels, CAST(twice AS BIGINT) AS text_overlap_pixels, CAST(shared AS BIGINT) AS text_image_overlap, CAST(covered AS BIGINT) AS total_covered_pixels, CAST(multi AS BIGINT) AS total_overlap, CAST(whole AS BIGINT) AS maximum_print_area,
+ CASE WHEN whole = 0 THEN 0.0 ELSE round_even(multi / whole, 2) END AS perc_print_area_overlap, CASE WHEN whole = 0 THEN 0.0 ELSE round_even(covered / whole, 2) END AS perc_print_area_coverage FROM full_total"""
+
+
 def _keyed(spark, d):
     return boxes(spark, d).withColumn("box_key", F.row_number().over(Window.partitionBy("page_id").orderBy(*KEY)).cast("long")).select("page_id", "class", "confidence", "x1", "y1", "x2", "y2", "box_key")
 
@@ -169,10 +206,12 @@ def figures_with_own_text(spark, d):
 
 REGIONS = f"""{BOXES}, keyed AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY {K}) AS box_key FROM boxes),
 small AS (SELECT page_id, class, confidence, x1, y1, x1 + (x2 - x1) / 4 AS x2, y1 + (y2 - y1) / 2 AS y2, box_key, CAST(row_number() OVER (PARTITION BY page_id ORDER BY y1, x1, box_key) AS INTEGER) AS reading_order FROM keyed)"""
-FIGURES_WITH_OWN_TEXT = f"""WITH {REGIONS}, pairs AS (SELECT a.page_id, a.reading_order AS r, b.class AS other, b.reading_order AS o, greatest(least(a.x2, b.x2) - greatest(a.x1, b.x1), 0) * greatest(least(a.y2, b.y2) - greatest(a.y1, b.y1), 0) AS common,
-  (a.x2 - a.x1) * (a.y2 - a.y1) AS mine, (b.x2 - b.x1) * (b.y2 - b.y1) AS theirs FROM small a JOIN small b ON a.page_id = b.page_id AND a.reading_order <> b.reading_order WHERE a.class = 'figure'),
-clash AS (SELECT DISTINCT page_id, r FROM pairs WHERE common > 0 AND CASE WHEN other = 'figure' THEN common >= 0.8 * mine AND o < r ELSE common >= 0.8 * mine OR common >= 0.8 * theirs END)
-SELECT page_id, box_key, reading_order FROM small s WHERE class = 'figure' AND NOT EXISTS (SELECT 1 FROM clash c WHERE c.page_id = s.page_id AND c.r = s.reading_order)"""
+# figures alone are compared with the page's boxes, and only pairs that have something in common go on
+FIGURES_WITH_OWN_TEXT = f"""WITH {REGIONS}, held AS MATERIALIZED (SELECT page_id, class, x1, y1, x2, y2, box_key, reading_order AS r FROM small), figures AS MATERIALIZED (SELECT * FROM held WHERE class = 'figure'),
+pairs AS MATERIALIZED (SELECT a.page_id, a.r, b.class AS other, b.r AS o, (least(a.x2, b.x2) - greatest(a.x1, b.x1)) * (least(a.y2, b.y2) - greatest(a.y1, b.y1)) AS common, (a.x2 - a.x1) * (a.y2 - a.y1) AS mine, (b.x2 - b.x1) * (b.y2 - b.y1) AS theirs
+  FROM figures a JOIN held b ON a.page_id = b.page_id WHERE a.r <> b.r AND b.x1 < a.x2 AND a.x1 < b.x2 AND b.y1 < a.y2 AND a.y1 < b.y2),
+clash AS (SELECT DISTINCT page_id, r FROM pairs WHERE CASE WHEN other = 'figure' THEN common >= 0.8 * mine AND o < r ELSE common >= 0.8 * mine OR common >= 0.8 * theirs END)
+SELECT f.page_id, f.box_key, f.r AS reading_order FROM figures f LEFT JOIN clash c ON c.page_id = f.page_id AND c.r = f.r WHERE c.r IS NULL"""
 
 
 def interval_clusters(spark, d):

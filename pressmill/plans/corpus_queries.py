@@ -140,11 +140,11 @@ def dendrogram(spark, d):
 
 
 def left_dim_lookup(spark, d):
-    c, n = table(spark, d, "customer"), table(spark, d, "nation").where("n_regionkey > 0")
-    return c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey, "left").select("c_custkey", "c_nationkey", "n_name")
+    c, n = table(spark, d, "customer"), table(spark, d, "nation")
+    return c.join(n, c.c_nationkey == n.n_nationkey, "left").select("c_custkey", "c_nationkey", "n_name")
 
 
-LEFT_DIM_LOOKUP = "SELECT c_custkey, c_nationkey, n_name FROM customer LEFT JOIN (SELECT * FROM nation WHERE n_regionkey > 0) ON c_nationkey = n_nationkey"
+LEFT_DIM_LOOKUP = "SELECT c_custkey, c_nationkey, n_name FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey"
 
 
 def self_join_raw(spark, d):

@@ -48,7 +48,7 @@ def articles_from_documents(spark, d):
     made = made.select("doc_id", "article", "title", "n_parts", T.word_count(F.col("content")).alias("words"), F.md5("content").alias("content_md5"))
     n = F.count("*").over(Window.partitionBy("doc_id"))
     place = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.desc("words"), "article"))
-    return made.withColumns({"n_articles": n, "place": place}).where("place <= 3")
+    return made.withColumns({"n_articles": n, "place": place})
 
 
 ARTICLES_FROM_DOCUMENTS = f"""WITH {PARTS_SQL}, numbered AS (
@@ -56,8 +56,7 @@ ARTICLES_FROM_DOCUMENTS = f"""WITH {PARTS_SQL}, numbered AS (
 ), made AS (
   SELECT doc_id, article, max(CASE WHEN class = 'title' THEN content END) AS title, count(*) FILTER (WHERE class <> 'title') AS n_parts, string_agg(content, chr(10) ORDER BY sub_order) AS content FROM numbered GROUP BY doc_id, article
 ), counted AS (SELECT doc_id, article, title, n_parts, len(regexp_extract_all(content, '[^ \\t\\n\\x0B\\f\\r]+')) AS words, md5(content) AS content_md5 FROM made)
-SELECT *, count(*) OVER (PARTITION BY doc_id) AS n_articles, row_number() OVER (PARTITION BY doc_id ORDER BY words DESC, article) AS place FROM counted
-QUALIFY place <= 3"""
+SELECT *, count(*) OVER (PARTITION BY doc_id) AS n_articles, row_number() OVER (PARTITION BY doc_id ORDER BY words DESC, article) AS place FROM counted"""
 
 
 def articles_from_conversations(spark, d):
@@ -203,6 +202,9 @@ def hash_split(spark, d):
     return corpus.split_by_hash(table(spark, d, "documents").select("doc_id"), "doc_id", 0.8, 1852)
 
 
+HASH_SPLIT = "SELECT doc_id, CAST('0x' || substr(md5('1852|' || doc_id), 1, 8) AS BIGINT) % 1000 < 800 AS is_train FROM documents"
+
+
 def batch_number(spark, d):
     return corpus.batch_numbers(table(spark, d, "documents").select("doc_id", "source"), "source", ["doc_id"], 20)
 
@@ -246,6 +248,13 @@ def word_error_pairs(spark, d):
     return _pairs(spark, d).select("item_id", U.word_distance("reference", "content").alias("word_errors"), F.size(T.words(F.col("reference"))).alias("words"))
 
 
+# each word becomes one character by its rank among the words of its pair
+WORD_ERROR_PAIRS = f"""WITH {PAIRS_SQL}, w AS (SELECT item_id, list_filter(regexp_split_to_array(reference, '\\s+'), lambda x: x <> '') AS a, list_filter(regexp_split_to_array(content, '\\s+'), lambda x: x <> '') AS b FROM p),
+k AS (SELECT *, list_distinct(list_concat(a, b)) AS known FROM w)
+SELECT item_id, CAST(levenshtein(array_to_string(list_transform(a, lambda x: chr(CAST(list_position(known, x) AS INTEGER))), ''), array_to_string(list_transform(b, lambda x: chr(CAST(list_position(known, x) AS INTEGER))), '')) AS INTEGER) AS word_errors,
+ CAST(len(a) AS INTEGER) AS words FROM k"""
+
+
 def html_text(spark, d):
     p = table(spark, d, "pages").select("page_id", U.text_of_html(F.col("html")).alias("h"), U.strings_of_html("html").alias("strings"))
     return p.select("page_id", "h.text", "h.labels", "strings")
@@ -275,10 +284,19 @@ def normalise_text(spark, d):
     return table(spark, d, "documents").select("doc_id", F.md5(U.normalise_text("text")).alias("plain_md5"), F.md5(U.normalise_dashes("text")).alias("dashes_md5"))
 
 
+FOLDED_SQL = "translate({}, 'ſ‘’“”„–—¬', 's''''\"\"\"---')"
+NORMALISE_TEXT = f"""WITH n AS (SELECT doc_id, regexp_replace({FOLDED_SQL.format("nfc_normalize(text)")}, '([\\p{{L}}\\p{{N}}_])-\\s*\\n\\s*([\\p{{L}}\\p{{N}}_])', '\\1\\2', 'g') AS t FROM documents),
+c AS (SELECT doc_id, t, regexp_replace(t, '\\s*-+\\s*', '-', 'g') AS u FROM n)
+SELECT doc_id, md5(trim(regexp_replace(t, '\\s+', ' ', 'g'))) AS plain_md5, md5(trim(regexp_replace(u, '\\s+', ' ', 'g'))) AS dashes_md5 FROM c"""
+
+
 def fold_text(spark, d):
     return table(spark, d, "documents").select("doc_id", F.md5(U.fold_text("text")).alias("folded_md5"))
 
 
+FOLD_TEXT = f"""SELECT doc_id, md5(lower(replace({FOLDED_SQL.format("strip_accents(text)")}, '‚', ''''))) AS folded_md5 FROM documents"""
+
+
 def cache_key(spark, d):
     return table(spark, d, "documents").select("doc_id", T.cache_key(F.lit("model"), F.lit(2000), F.lit(0), F.col("lang"), F.encode("text", "UTF-8")).alias("key"))
 
@@ -287,9 +305,11 @@ CACHE_KEY = "SELECT doc_id, sha256('model|2000|0|' || lang || text) AS key FROM
 
 
 def _page_words(spark, d):
-    words = table(spark, d, "documents").select(F.col("doc_id").alias("page_id"), F.posexplode(T.words(F.col("text"))).alias("at", "text"))
-    at = F.col("at")
-    return search.page_words(words.select("page_id", "at", "text", F.lit("B0").alias("region"), ((at % 12) * 80).cast("double").alias("x"), (F.floor(at / 12) * 30).cast("double").alias("y"), (F.length("text") * 6).cast("double").alias("w"), F.lit(20.0).alias("h")))
+    number = lambda c: c.cast("double")
+    word = lambda w, at: F.struct(
+        w.alias("text"), F.lit("B0").alias("region"), number((at % 12) * 80).alias("x"), number(F.floor(at / 12) * 30).alias("y"), number(F.length(w) * 6).alias("w"), F.lit(20.0).alias("h")
+    )
+    return table(spark, d, "documents").select(F.col("doc_id").alias("page_id"), F.transform(T.words(F.col("text")), word).alias("words"))
 
 
 def phrase_search(spark, d):
@@ -297,6 +317,12 @@ def phrase_search(spark, d):
     return hits.select("page_id", "word", "n_words", "line_height", "snippet", F.size("boxes").alias("n_boxes"))
 
 
+PHRASE_SEARCH = """WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> '') AS words FROM documents),
+f AS (SELECT doc_id, words, list_transform(words, lambda x: lower(strip_accents(x))) AS folded FROM w),
+h AS (SELECT doc_id, words, unnest(list_filter(range(0, len(words) - 1), lambda i: regexp_matches(folded[i + 1], '(^|[^\\p{L}\\p{N}])and$') AND regexp_matches(folded[i + 2], '^the($|[^\\p{L}\\p{N}])'))) AS i FROM f)
+SELECT doc_id AS page_id, CAST(i AS INTEGER) AS word, 2 AS n_words, 20.0::DOUBLE AS line_height, array_to_string(words[greatest(i - 6, 0) + 1 : i + 8], ' ') AS snippet, CASE WHEN i % 12 = 11 THEN 2 ELSE 1 END AS n_boxes FROM h"""
+
+
 def search_page_counts(spark, d):
     text = F.lower(F.array_join(T.words(F.col("text")), " "))
     n = F.regexp_count(text, F.lit("and the"))
@@ -310,6 +336,13 @@ def reading_ease(spark, d):
     return table(spark, d, "documents").select("doc_id", U.reading_ease("text").alias("flesch"))
 
 
+READING_EASE = """WITH t AS (SELECT doc_id, list_filter(list_transform(regexp_split_to_array(lower(text), '\\s+'), lambda x: regexp_replace(x, '[^a-z]', '', 'g')), lambda x: x <> '') AS words,
+  greatest(1, len(regexp_extract_all(text, '[.!?]+(\\s|$)'))) AS sentences FROM documents),
+g AS (SELECT doc_id, len(words) AS n, sentences, list_transform(words, lambda x: struct_pack(k := len(regexp_extract_all(x, '[aeiouy]+')), e := ends_with(x, 'e') AND NOT ends_with(x, 'le'))) AS each FROM t),
+s AS (SELECT doc_id, n, sentences, list_sum(list_transform(each, lambda x: greatest(1, x.k - CASE WHEN x.e AND x.k > 1 THEN 1 ELSE 0 END))) AS syllables FROM g)
+SELECT doc_id, CASE WHEN n = 0 THEN 0.0::DOUBLE ELSE CAST(printf('%.2f', (206.835::DOUBLE - 1.015::DOUBLE * n / sentences) - 84.6::DOUBLE * syllables / n) AS DOUBLE) END AS flesch FROM s"""
+
+
 def align_regions(spark, d):
     tokens = F.filter(F.split("text", r"\s+"), lambda w: w != "")
     # a word box list from a perturbed copy of the text: every seventh word loses its first letter
