@@ -1,15 +1,17 @@
 """URL filters by a sort-merge range join, on DataFrame functions alone.
 
 A rule (action, host, path) fits its host and all subdomains when the url's path starts with the rule's path; the
-longest rule wins (characters of host and path, then of the host). Its canonical key is the reversed host labels, a
-separator and the path, so the keys it fits form the interval from the key to the key followed by the last code point.
-Such intervals nest. A url is probed once for each domain above it (at most as many labels as any rule has, as many
-path characters as any rule has: more can't matter). Only distinct probes are swept.
-
-The sweep: rule starts, rule ends and probes are range-partitioned by key and sorted. The innermost open rule, the top of
-the stack, changes only at a start (to this rule) and at an end (to the rule around it, its parent), so each probe's top
-is the state of the last event before it; a partition without an earlier event takes the last one of the partitions
-before, one row each. Equal probes are collapsed beforehand and probes differ, so no key can fill a partition.
+longest rule wins (characters of host and path, then of the host). Reversed host labels, each closed by a point, turn a host
+and its subdomains into the interval from its key to the key followed by the last code point; a separator and the path behind
+the key do the same for the paths of a rule's host. Such intervals nest, so at each place the open ones are a stack.
+
+Two sweeps, of hosts and then of paths. In each, interval starts, interval ends and the distinct probes are range-partitioned
+by key and sorted. An event carries the stack that holds from there on (a start: its own interval on top of those around
+it; an end: those around it), so a probe's stack is that of the last event before it; a partition without an earlier
+event takes the last one of the partitions before, one row each. The first sweep gives each distinct host the stack of rule
+hosts that it lies under, at most one for each label; most urls lie under none and go no further. The second gives each
+host and path that are left the stack of rules that fit; the top one is the longest of that host, and the longest of all
+hosts wins. Equal probes are collapsed beforehand and probes differ, so no key can fill a partition.
 
 Edge cases: a null url and one without '://' have an empty host and path and fit no rule, unless a rule's host is empty;
 rules with the same host and path count once (block before allow), null parts of a rule count as empty; repeated rows give
@@ -59,32 +61,48 @@ def _sweep(events: DataFrame, probes: DataFrame) -> DataFrame:
     return swept.join(carried, "slice").select("probe", F.coalesce("top", "carried").alias("top"))
 
 
+def _stacks(intervals: DataFrame, prefixes: Column, value: str) -> DataFrame:
+    """(key, stack) of each interval: the values of the intervals around it, from the outermost, and its own. prefixes: the keys that can be around a key, its own left out."""
+    inside = intervals.select("key", F.explode(prefixes).alias("outer_key")).join(intervals.select(F.col("key").alias("outer_key"), F.col(value).alias("outer")), "outer_key")
+    around = inside.groupBy("key").agg(F.array_sort(F.collect_list(F.struct(F.length("outer_key").alias("n"), "outer"))).alias("around"))
+    held = F.coalesce(F.transform("around", lambda o: o["outer"]), F.array().cast(f"array<{dict(intervals.dtypes)[value]}>"))
+    return intervals.join(around, "key", "left").select("key", F.concat(held, F.array(value)).alias("stack"))
+
+
+def _events(stacks: DataFrame) -> DataFrame:
+    """Starts and ends of intervals, each with the stack that holds from there on."""
+    starts = stacks.select("key", F.struct("stack").alias("state"))
+    return starts.union(stacks.select(F.concat("key", F.lit(LAST)), F.struct(F.slice("stack", F.lit(1), F.size("stack") - 1).alias("stack"))))
+
+
 def judge(pages: DataFrame, rules: DataFrame, default: str = DEFAULT) -> DataFrame:
     """page_id, host, path, rule ('host' + 'path' of the winning rule, or null) and verdict of every page row."""
     host, path = host_path(F.col("url"))
     urls = pages.select("page_id", host.alias("host"), path.alias("path"))
     clean = rules.select("action", F.lower(F.coalesce("host", F.lit(""))).alias("h"), F.coalesce("path", F.lit("")).alias("p")).groupBy("h", "p").agg(F.max("action").alias("action"))
-    clean = clean.select("action", "h", "p", F.concat(_reversed(F.split("h", r"\.")), F.lit(SEP), "p").alias("key"), F.struct((F.length("h") + F.length("p")).alias("size"), F.length("h").alias("of_host"), F.concat("h", "p").alias("rule"), "action").alias("mine"))
-    clean = C.materialize(clean, "rules")
+    at_host = F.concat(_reversed(F.split("h", r"\.")), F.lit("."))
+    mine = F.struct((F.length("h") + F.length("p")).alias("size"), F.length("h").alias("of_host"), F.concat("h", "p").alias("rule"), "action").alias("mine")
+    clean = C.materialize(clean.select("h", "p", at_host.alias("at_host"), F.concat(at_host, F.lit(SEP), "p").alias("key"), mine), "rules")
     bound = clean.agg(F.max(F.size(F.split("h", r"\."))).alias("labels"), F.max(F.length("p")).alias("chars")).first()
     if bound["labels"] is None:
         return urls.select("page_id", "host", "path", F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict"))
-    # the rule around each rule: the longest rule whose key is a proper prefix of its key (same host, shorter path)
-    shorter = clean.where("length(p) > 0").select("key", F.explode(F.sequence(F.lit(1), F.length("p"))).alias("cut")).select("key", F.expr("substring(key, 1, length(key) - cut)").alias("outer_key"))
-    around = shorter.join(clean.select(F.col("key").alias("outer_key"), F.col("mine").alias("outer")), "outer_key").groupBy("key").agg(F.max("outer").alias("outer"))
-    known = clean.join(around, "key", "left")
-    events = known.select("key", F.struct(F.col("mine").alias("open")).alias("state")).union(known.select(F.concat("key", F.lit(LAST)).alias("key"), F.struct(F.col("outer").alias("open")).alias("state")))
     # a url is known by the part that rules can see
-    labels = F.split("host", r"\.")
-    most = int(bound["labels"])
-    seen = F.array_join(F.when(F.size(labels) > most, F.slice(labels, -most, most)).otherwise(labels), ".")
-    urls = urls.withColumn("near", seen).withColumn("lead", F.substring("path", 1, int(bound["chars"])) if bound["chars"] else F.lit(""))
-    distinct = urls.select("near", "lead").distinct()
-    up = F.split("near", r"\.")
-    probes = distinct.select("near", "lead", F.explode(F.transform(F.sequence(F.lit(1), F.size(up)), lambda i: _reversed(F.slice(up, -i, i)))).alias("domain"))
-    probes = probes.select(F.concat("domain", F.lit(SEP), "lead").alias("key"), F.struct("near", "lead").alias("probe"))
-    best = _sweep(events, probes).groupBy("probe").agg(F.max("top.open").alias("best"))
-    found = C.materialize(best.where("best is not null").select(F.col("probe.near").alias("near"), F.col("probe.lead").alias("lead"), F.col("best.rule").alias("rule"), F.col("best.action").alias("action")), "found")
+    labels, most = F.split("host", r"\."), int(bound["labels"])
+    near = F.concat(_reversed(F.when(F.size(labels) > most, F.slice(labels, -most, most)).otherwise(labels)), F.lit("."))
+    urls = urls.withColumn("near", near).withColumn("lead", F.substring("path", 1, int(bound["chars"])) if bound["chars"] else F.lit(""))
+    seen = C.materialize(urls.select("near", "lead").distinct(), "seen")
+    # the sweep of hosts
+    hosts = clean.select(F.col("at_host").alias("key")).distinct().withColumn("own", F.col("key"))
+    parts = F.split(F.expr("substring(key, 1, length(key) - 1)"), r"\.")
+    shorter = F.when(F.size(parts) > 1, F.transform(F.sequence(F.lit(1), F.size(parts) - 1), lambda n: F.concat(F.array_join(F.slice(parts, F.lit(1), n), "."), F.lit("."))))
+    probes = seen.select(F.col("near").alias("key")).distinct().select("key", F.struct(F.col("key").alias("near")).alias("probe"))
+    under = _sweep(_events(_stacks(hosts, shorter, "own")), probes).where("size(top.stack) > 0").select("probe.near", F.explode("top.stack").alias("at_host"))
+    # the sweep of paths, for each rule host that a url lies under
+    cut = F.when(F.length("p") > 0, F.transform(F.sequence(F.lit(1), F.length("p")), lambda n: F.expr("key").substr(F.lit(1), F.length("key") - n)))
+    probes = seen.join(C.materialize(under, "under"), "near").select(F.concat("at_host", F.lit(SEP), "lead").alias("key"), F.struct("near", "lead").alias("probe"))
+    tops = _sweep(_events(_stacks(clean, cut, "mine")), probes).where("size(top.stack) > 0").select("probe", F.element_at("top.stack", -1).alias("open"))
+    best = tops.groupBy("probe").agg(F.max("open").alias("best"))
+    found = C.materialize(best.select(F.col("probe.near").alias("near"), F.col("probe.lead").alias("lead"), F.col("best.rule").alias("rule"), F.col("best.action").alias("action")), "found")
     return urls.join(found, ["near", "lead"], "left").select("page_id", "host", "path", "rule", F.coalesce("action", F.lit(default)).alias("verdict"))
 
 
