@@ -1,7 +1,8 @@
 """Shared parts of the training-data operators: scratch tables and vectorised views of Arrow text columns.
 
 The text kernels work on the UTF-8 bytes of a whole Arrow batch at once. They never build Python strings; memory is
-bounded by cutting batches into row ranges of about CHUNK bytes (a longer text makes a range of its own).
+bounded by cutting batches into row ranges of about CHUNK bytes and at most CHUNK_ROWS rows (a longer text makes a range of
+its own).
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-CHUNK = 1 << 20
+CHUNK, CHUNK_ROWS = 1 << 19, 1 << 11
 WORD = r"[^\x20\x09-\x0D]+"
 
 _own_scratch: str | None = None
@@ -147,13 +148,14 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return d, o - o[0]
 
 
-def row_ranges(offsets: np.ndarray, limit: int = CHUNK) -> Iterator[tuple[int, int]]:
-    """Consecutive row ranges of at most limit bytes each, a longer row alone."""
+def row_ranges(offsets: np.ndarray, limit: int = CHUNK, rows: int = CHUNK_ROWS) -> Iterator[tuple[int, int]]:
+    """Consecutive row ranges of at most limit bytes and rows each, a longer row alone."""
     n, i = len(offsets) - 1, 0
     while i < n:
         j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + limit, "right")) - 1)
-        yield i, min(j, n)
-        i = min(j, n)
+        j = min(j, n, i + rows)
+        yield i, j
+        i = j
 
 
 def text_chunks(batches: Iterator[pa.RecordBatch], name: str = "text") -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:

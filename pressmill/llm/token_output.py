@@ -26,6 +26,7 @@ from __future__ import annotations
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 from itertools import repeat
 
@@ -144,7 +145,7 @@ class Encoder:
 
     def _forget(self) -> None:
         self.known: dict[str, int] = {}
-        self.units: dict[str, list[int]] = {}
+        self.units: dict[str, array] = {}
         self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
         self.begin, self.size = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
 
@@ -177,11 +178,11 @@ class Encoder:
         if self.splits:
             core = word.rstrip(self._marks)
             if core.isalpha() and max(core) < "İ":
-                ids = []
+                ids = array("I")
                 for part in (core.lower(), word[len(core) :]):
                     if part:
                         if part not in self.units:
-                            self.units[part] = self._unit(part)
+                            self.units[part] = array("I", self._unit(part))
                         ids = ids + self.units[part]
         if ids is None:
             ids = self.whole(word)
