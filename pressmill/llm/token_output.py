@@ -43,7 +43,7 @@ PERCENTILE = 0.98  # an exception takes 48 bits, so a bit of width pays when ove
 SEGMENT_TOKENS = 1 << 20
 SEGMENTS_PER_FILE = 32
 END_ID = 1
-REMEMBERED = 500_000
+REMEMBERED = 300_000
 
 _HEAD = struct.Struct("<4sIIQQIIQ")
 
