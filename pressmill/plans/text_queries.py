@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions import text_udf as U
-from ..operators import align, articles, corpus, metrics, quality, search, segments
+from ..operators import align, articles, corpus, finish, metrics, quality, search, segments
 from ..sources.io import table
 
 DOC_TITLE = "upper(content) = content AND length(regexp_replace(content, '[^A-Z]', '', 'g')) >= 5 AND length(regexp_replace(content, '[^AEIOU]', '', 'g')) >= 2"
@@ -369,7 +369,26 @@ def request_jsonl(spark, d):
 
 REQUEST_JSONL = """SELECT doc_id, '{"custom_id":"' || doc_id || '","body":{"max_tokens":2000,"messages":[{"role":"user","content":"' || CASE WHEN lang = 'en' THEN 'Transcribe.' ELSE 'Transcribe as printed.' END || ' #' || doc_id || '"}]}}' AS line FROM documents"""
 
+def word_candidates(spark, d):
+    words = table(spark, d, "documents").select("doc_id", F.posexplode(T.words(F.col("text"))).alias("at", "word"))
+    sure = finish.word_candidate(F.col("word"), (F.col("at") * 37 + F.col("doc_id")) % 101)
+    return words.groupBy("doc_id").agg(F.count(F.when(sure, 1)).alias("candidates"), F.count("*").alias("words"))
+
+
+WORD_CANDIDATES = """WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> '') AS words FROM documents),
+e AS (SELECT doc_id, unnest(words) AS word, unnest(range(0, len(words))) AS i FROM w)
+SELECT doc_id, count(*) FILTER (WHERE (i * 37 + doc_id) % 101 > 90 AND length(word) >= 5 AND regexp_matches(word, '^\\p{L}+$')) AS candidates, count(*) AS words FROM e GROUP BY doc_id"""
+
+
+def run_summary(spark, d):
+    regions = table(spark, d, "conversations").select((F.col("conv_id") % 50).alias("page_id"), F.when(F.col("turn") % 7 == 3, "cut").alias("suspect"), F.length("text").alias("total_tokens"), (F.col("turn") % 3 == 0).alias("cached"))
+    return finish.run_summary(regions)
+
+
+RUN_SUMMARY = "SELECT count(DISTINCT conv_id % 50) AS pages, count(*) AS regions, count(*) FILTER (WHERE turn % 7 = 3) AS withheld, CAST(coalesce(sum(length(text)), 0) AS BIGINT) AS tokens, count(*) FILTER (WHERE turn % 3 = 0) AS cached FROM conversations"
+
 NAMES = [
+    "word_candidates", "run_summary",
     "doc_counts", "title_lines", "articles_from_documents", "articles_from_conversations", "merge_title_runs", "merge_title_runs_compat", "clean_line_breaks", "fragment_share", "quality_flags", "layout_json_flag",
     "keyword_filter_ci", "custom_id_decompose", "segment_totals", "segment_knit", "semi_sample", "anti_processed", "hash_split", "batch_number", "cer_pairs_ascii", "micro_error_rates", "worst_pages", "word_error_pairs",
     "html_text", "url_parts", "page_ids", "normalise_text", "fold_text", "cache_key", "phrase_search", "search_page_counts", "reading_ease", "align_regions", "label_parse", "request_jsonl",

@@ -117,6 +117,27 @@ def write_exports(regions: DataFrame, folder: str) -> None:
     write_parquet(page_texts(regions), f"{folder}/texts", ["page_id"])
 
 
+def write_documents(df: DataFrame, folder: str, key: str = "page_id", body: str = "document", mode: str = "overwrite") -> None:
+    """Each row's JSON text in a folder of its key, by Spark's committer: a document is there whole or not at all."""
+    df.select(key, F.col(body).alias("value")).write.partitionBy(key).mode(mode).text(folder)
+
+
+def remove_partial(spark: SparkSession, folder: str, suffix: str = ".tmp") -> list[str]:
+    """Delete what broken runs left in a folder (files that end in the suffix, folders of unfinished commits); gives their paths."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    gone, todo = [], [path] if files.exists(path) else []
+    while todo:
+        for entry in files.listStatus(todo.pop()):
+            name = entry.getPath().getName()
+            if name.endswith(suffix) or name == "_temporary":
+                files.delete(entry.getPath(), True)
+                gone.append(entry.getPath().toString())
+            elif entry.isDirectory():
+                todo.append(entry.getPath())
+    return sorted(gone)
+
+
 def page_texts(regions: DataFrame) -> DataFrame:
     """page_id and its published text: a header '[order id class]' above each region."""
     shown = regions.where((F.coalesce("suspect", F.lit("")) == "") & (F.coalesce("text", F.lit("")) != ""))

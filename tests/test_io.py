@@ -105,3 +105,33 @@ def test_smallest_box(spark):
     hits = spark.createDataFrame([(1, 0, 5.0, 5.0)], "page_id int, hit int, cx double, cy double")
     boxes = spark.createDataFrame([(1, "page", 0.0, 0.0, 100.0, 100.0), (1, "word", 0.0, 0.0, 10.0, 10.0), (1, "far", 50.0, 50.0, 2.0, 2.0)], "page_id int, id string, x double, y double, w double, h double")
     assert search.smallest_box_at(hits, boxes).first().id == "word"
+
+
+def test_documents_and_cleanup(spark, tmp_path):
+    df = spark.createDataFrame([("p1", '{"a": 1}'), ("p2", '{"b": [2]}')], "page_id string, document string")
+    io.write_documents(df, f"file://{tmp_path}/docs")
+    back = {r.page_id: json.loads(r.value) for r in spark.read.text(f"file://{tmp_path}/docs").collect()}
+    assert back == {"p1": {"a": 1}, "p2": {"b": [2]}}
+    (tmp_path / "docs/page_id=p1/left.json.tmp").write_text("x")
+    (tmp_path / "docs/_temporary/0").mkdir(parents=True)
+    assert len(io.remove_partial(spark, f"file://{tmp_path}/docs")) == 2 and not (tmp_path / "docs/_temporary").exists()
+    assert spark.read.text(f"file://{tmp_path}/docs").count() == 2 and io.remove_partial(spark, f"file://{tmp_path}/none") == []
+
+
+def test_finish(spark):
+    from pressmill.functions import geometry as G
+    from pressmill.operators import finish
+
+    regions = spark.createDataFrame([(1, "B0", 10, 20, 30, 40), (1, "B1", 0, 0, 5, 5)], "page_id long, box_page_id string, x1 int, y1 int, x2 int, y2 int")
+    results = spark.createDataFrame([(1, "B1", "second", "cut off"), (1, "B0", "first", None)], "page_id long, box_page_id string, text string, suspect string")
+    told = F.lit('{"matrix": [1.0, 0.0, 100.0, 0.0, 1.0, 200.0], "width": 9, "height": 8}')
+    whole = finish.with_results(regions, results).withColumns({"inverse": G.map_of_json(told)["matrix"], "scan_width": F.lit(1000), "scan_height": F.lit(1000)})
+    got = {r.box_page_id: r for r in finish.finalise(whole).collect()}
+    assert tuple(got["B0"].box) == (110, 220, 20, 20) and (got["B0"].text, got["B0"].withheld) == ("first", None)
+    assert (got["B1"].text, got["B1"].withheld) == (None, "second")
+    r = spark.range(1).select(G.map_of_json(F.lit("broken")).alias("m"), G.map_json(F.array(F.lit(1.5)), F.lit(3), F.lit(4)).alias("j")).first()
+    assert r.m.matrix == [1.0, 0.0, 0.0, 0.0, 1.0, 0.0] and json.loads(r.j) == {"matrix": [1.5], "width": 3, "height": 4}
+    df = spark.createDataFrame([("a", 1.0, 2.0), (None, None, 3.0)], "class string, class_1_probability double, class_1_probability_old double")
+    assert finish.columns_like(df, "probability", "_old").columns == ["class_1_probability"] and finish.with_values(df, ["class_1_probability"]).count() == 1
+    assert [r[0] for r in df.select(finish.other_class(F.col("class"), ("b",))).collect()] == ["other", None]
+    assert [r.id for r in finish.first_pages(spark.range(9), 3, "id").collect()] == [0, 1, 2]
