@@ -32,3 +32,16 @@ def test_stages(spark):
             continue
         assert docs.columns == columns and {r.doc_id for r in docs.collect()} == want
     assert seen[0] > seen[1] > 0 and seen[-1] == seen[-2]
+
+
+def test_stages_on_odd_and_empty_tables(spark, odd_documents, no_documents):
+    import corpus_pipeline as P
+    from pressmill.llm import common
+
+    for docs, some in ((odd_documents, True), (no_documents, False)):
+        columns = docs.columns
+        for name, stage in P.STAGES:
+            before, docs = docs, common.materialize(stage(spark, docs, D), name)
+            if name != "token_output":
+                assert docs.columns == columns and (name == "mixing" or docs.count() <= before.count())
+        assert (docs.count() > 0) == some
