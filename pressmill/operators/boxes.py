@@ -249,6 +249,14 @@ def postprocess(df: DataFrame, key: list[str], min_height: float = 10, multiplie
     return reading_order(adjust_bottoms(df, key), key)
 
 
+def column_regions(detections: DataFrame, key: list[str]) -> DataFrame:
+    """Regions by columns, the older way to make them from raw detections (with page_width and page_height), held inside the page."""
+    size = detections.groupBy("page_id").agg(F.max("page_width").alias("_width"), F.max("page_height").alias("_height"))
+    kind = F.when(F.col("class") == "plain text", "text").otherwise(F.col("class"))
+    rows = postprocess(detections.withColumn("class", kind), key).join(size, "page_id")
+    return clamp(rows, F.col("_width"), F.col("_height")).drop("_width", "_height").withColumn("recovered", F.lit(False))
+
+
 def figures_with_own_text(regions: DataFrame, share: float = 0.8) -> DataFrame:
     """Figures whose text no other region covers: not mostly inside another region, not holding most of a text region, not mostly inside an earlier figure."""
     a, b = regions.alias("a"), regions.alias("b")

@@ -48,11 +48,16 @@ def median_word_area(w: Column, h: Column) -> Column:
 
 
 def page_report(regions: DataFrame) -> DataFrame:
-    """One row per page from finished regions: counts of regions, tokens, words, suspects and the two token shares."""
+    """One row per page from finished regions: counts of regions, tokens, words, suspects and the two token shares.
+
+    Of the columns `lines` (ARRAY) and `cached` (BOOLEAN) those that are there are counted too.
+    """
+    also = {"lines": F.coalesce(F.sum(F.greatest(F.size("lines"), F.lit(0))), F.lit(0)), "cached": F.count(F.when(F.col("cached"), 1))}
     return regions.groupBy("page_id").agg(
         F.count("*").alias("regions"), F.sum("n_chandra_tokens").alias("tokens"), F.sum("n_tesseract_words").alias("words"),
         F.count(F.when(F.col("suspect").isNotNull() & (F.col("suspect") != ""), 1)).alias("suspects"), F.count(F.when(F.col("recovered"), 1)).alias("recovered"),
         token_share(F.col("n_matched"), F.col("n_chandra_tokens")).alias("alignment_score"), token_share(F.col("n_matched") + F.col("n_estimated"), F.col("n_chandra_tokens")).alias("coverage"),
+        *[c.alias(name) for name, c in also.items() if name in regions.columns],
     )
 
 

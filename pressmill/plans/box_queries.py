@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry as G
 from ..operators import boxes as B
-from ..operators import iiif, layout, quality
+from ..operators import iiif, layout, quality, readings
 from ..sources.io import table
 
 KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
@@ -263,6 +263,27 @@ SELECT page_id, count(*) AS regions, CAST(sum(n) AS BIGINT) AS tokens, CAST(sum(
  round(sum(n - n % 3)::DOUBLE / sum(n), 4) AS alignment_score, round(sum(n)::DOUBLE / sum(n), 4) AS coverage FROM n GROUP BY page_id"""
 
 
+def row_measures(spark, d):
+    word = F.struct(F.col("class").alias("text"), "x1", "y1", "x2", "y2")
+    rows = boxes(spark, d).groupBy("page_id").agg(G.row_measures(F.collect_list(word)).alias("m"))
+    return rows.select("page_id", "m.*").select("page_id", "y1", "y2", *_near("height", "char_width", "gap", "split", "stop"))
+
+
+ROW_MEASURES = f"""WITH {BOXES}, w AS (SELECT *, CASE class WHEN 'title' THEN 5.0::DOUBLE WHEN 'text' THEN 4.0::DOUBLE ELSE 6.0::DOUBLE END AS chars, lead(x1) OVER (PARTITION BY page_id ORDER BY x1, y1, x2, y2) - x2 AS step FROM boxes),
+m AS (SELECT page_id, CAST(trunc(quantile_cont(y1, 0.25)) AS INTEGER) AS y1, CAST(trunc(quantile_cont(y2, 0.75)) AS INTEGER) AS y2, median(y2 - y1) AS height, median((x2 - x1) / chars) AS char_width,
+ coalesce(median(step) FILTER (WHERE step > 0), 0.35::DOUBLE * median(y2 - y1)) AS gap FROM w GROUP BY page_id)
+SELECT page_id, y1, y2, round(height, 6) AS height, round(char_width, 6) AS char_width, round(gap, 6) AS gap, round(greatest(0.12::DOUBLE * height, 0.45::DOUBLE * gap), 6) AS split, round(greatest(2.5::DOUBLE * gap, 1.2::DOUBLE * height), 6) AS stop FROM m"""
+
+
+def best_reading(spark, d):
+    score = (F.col("confidence").cast("double") * 10).alias("score")
+    return readings.best_reading(_keyed(spark, d).select("page_id", F.col("box_key").alias("place"), score), ["page_id"])
+
+
+BEST_READING = f"""WITH {BOXES}, n AS (SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY {K}) AS place, CAST(confidence AS DOUBLE) * 10 AS score FROM boxes)
+SELECT page_id, place, score FROM n QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY score < 0.8, CASE WHEN score >= 0.8 THEN 0 ELSE -score END, place) = 1"""
+
+
 def iiif_documents(spark, d):
     df = _regions(spark, d)
     box = F.struct(F.col("x1").cast("int").alias("x"), F.col("y1").cast("int").alias("y"), F.expr("cast(x2 - x1 as int)").alias("w"), F.expr("cast(y2 - y1 as int)").alias("h"))
@@ -273,7 +294,8 @@ def iiif_documents(spark, d):
 
 NAMES = [
     "class_remap", "box_metrics", "abandon_reclass", "assign_columns", "page_blocks", "reading_order", "adjust_edges", "fill_column_gaps", "merge_column_boxes", "merge_overlapping_boxes", "postprocess_boxes", "page_coverage",
-    "xy_cut_order", "remove_nested", "split_overlaps", "build_regions", "figures_with_own_text", "interval_clusters", "box_to_original", "split_offsets", "token_cap", "page_report", "iiif_documents",
+    "xy_cut_order", "remove_nested", "split_overlaps", "build_regions", "figures_with_own_text", "interval_clusters", "box_to_original", "split_offsets", "token_cap", "page_report", "row_measures",
+    "best_reading", "iiif_documents",
 ]
 QUERIES = {n: globals()[n] for n in NAMES}
 ORACLE_SQL = {n: globals()[n.upper()] for n in NAMES if n.upper() in globals()}

@@ -63,6 +63,12 @@ def flatten_responses(df: DataFrame) -> DataFrame:
     return df.select("id", "custom_id", *[F.col(f"{body}.usage.{c}") for c in ("prompt_tokens", "completion_tokens", "total_tokens")], first["finish_reason"].alias("finish_reason"), first["message"]["content"].alias("content"))
 
 
+def single_response(df: DataFrame, id: str, custom_id: str) -> DataFrame:
+    """The row of one answer that came at once (column `body`, as JSON text), under the ids that the caller gives."""
+    body = F.from_json("body", RESPONSE.split("response struct<body ", 1)[1][:-1])
+    return flatten_responses(df.select(F.lit(id).alias("id"), F.lit(custom_id).alias("custom_id"), F.struct(body.alias("body")).alias("response")))
+
+
 def read_label_export(spark: SparkSession, path: str) -> DataFrame:
     """Boxes of an annotation export (NDJSON; the project key varies, so projects are read as a map)."""
     box = "struct<name string, bounding_box struct<left double, top double, width double, height double>>"

@@ -7,7 +7,7 @@ A model is made once in each Python worker by a factory, so that only the factor
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from typing import Protocol
 
 import pandas as pd
@@ -45,6 +45,17 @@ class FakeLayout:
         return [{"class": ("title", "plain text", "figure")[h[k] % 3], "confidence": h[k + 1] / 255, "x1": 10.0 * k, "y1": float(h[k + 2]), "x2": 10.0 * k + 200, "y2": h[k + 2] + 120.0} for k in range(0, 12, 3)]
 
 
+class FakeWords:
+    """Words from the image's hash, three to a line; an empty image is broken."""
+
+    def words(self, image: bytes) -> list[dict]:
+        if not image:
+            raise ValueError("no image")
+        h = hashlib.sha256(image).hexdigest()
+        spots = [(60.0 * (k % 3), 30.0 * (k // 3)) for k in range(6)]
+        return [{"text": h[5 * k : 5 * k + 5], "conf": 90.0, "line": k // 3, "x1": x, "y1": y, "x2": x + 50, "y2": y + 20} for k, (x, y) in enumerate(spots)]
+
+
 class FakeClassifier:
     def __init__(self, classes: int) -> None:
         self.classes = classes
@@ -56,10 +67,14 @@ class FakeClassifier:
 ANSWER = "content string, finish_reason string, prompt_tokens int, completion_tokens int"
 
 
-def ask(requests: DataFrame, factory: Callable[[], OcrModel], answered: DataFrame | None = None, concurrency: int = 2, tries: int = 3) -> DataFrame:
-    """request_key and ANSWER for requests (request_key, image, region_class, prompt, max_tokens) that aren't in `answered`; answers kept so far are added."""
+def ask(requests: DataFrame, factory: Callable[[], OcrModel], answered: DataFrame | None = None, concurrency: int = 2, tries: int = 3, problem: Callable[[str, dict], str | None] | None = None, again: int = 2, order: Sequence[str] = ()) -> DataFrame:
+    """request_key and ANSWER for requests (request_key, image, region_class, prompt, max_tokens) that aren't in `answered`; answers kept so far are added.
+
+    An answer in which `problem` (of class and answer) finds something is asked for again, up to `again` times, each time with
+    twice the tokens; if that fails, the last answer stays. Within a task requests go out by the columns of `order`.
+    """
     columns = ["request_key", "image", "region_class", "prompt", "max_tokens"]
-    todo = requests.select(*columns).dropDuplicates(["request_key"])
+    todo = requests.select(*columns, *order).dropDuplicates(["request_key"])
     if answered is not None:
         todo = todo.join(answered.select("request_key"), "request_key", "left_anti")
 
@@ -75,11 +90,19 @@ def ask(requests: DataFrame, factory: Callable[[], OcrModel], answered: DataFram
                     except (ConnectionError, TimeoutError):
                         if not left:
                             raise
+                for attempt in range(1, again + 1):
+                    if problem is None or problem(kind, got) is None:
+                        break
+                    try:
+                        got = model.transcribe(bytes(image), kind, prompt, int(most) * 2**attempt)
+                    except Exception:
+                        break
                 rows.append((key, got["content"], got["finish_reason"], got["prompt_tokens"], got["completion_tokens"]))
             yield pd.DataFrame(rows, columns=["request_key", "content", "finish_reason", "prompt_tokens", "completion_tokens"])
 
     kind = dict(requests.dtypes)["request_key"]
-    new = todo.repartition(concurrency).mapInPandas(run, f"request_key {kind}, {ANSWER}")
+    tasks = todo.repartition(concurrency)
+    new = (tasks.sortWithinPartitions(*order) if order else tasks).mapInPandas(run, f"request_key {kind}, {ANSWER}")
     return new if answered is None else answered.unionByName(new)
 
 
