@@ -358,6 +358,46 @@ def test_odd_texts_encode_alike():
     assert [list(x) for x in np.split(ids, np.cumsum(counts)[:-1])] == [coder.whole(t) for t in texts]
 
 
+def test_runs_of_every_kind_encode_alike(monkeypatch):
+    monkeypatch.setattr(token_output, "REMEMBERED", 300)
+    monkeypatch.setattr(token_output, "REMEMBERED_BYTES", 4000)
+    monkeypatch.setattr(token_output, "AT_ONCE", 64)
+    coder = token_output.Encoder(token_output.tokenizer_path("word_bpe_49k.json"))
+    assert coder.splits
+    chars = [chr(c) for c in range(0x250)] + ["\u0301", "\u2003", "ﬁ", "Ж", "日", "😀", "\u0085", "\ufeff"]
+    texts = [f"x{c}y {c} {c}{c}A Ab{c}, {'long' * 4}{c}" for c in chars]
+    r = np.random.default_rng(3)
+    letters = [*"abcEÉßÀñĮµª.,!'\"$-09\x00", "日", " ", "\n"]
+    texts += ["".join(r.choice(letters, r.integers(1, 60))) for _ in range(600)] + [None, "", " ", "a" * 15, "a" * 16, "a\x00", "a\x00\x00", "." * 15, "é" * 8, "É" * 7 + "."]
+    for some in (texts, texts[::-1]):
+        ids, counts = coder.encode(some)
+        assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == [coder.whole(t or "") for t in some]
+    assert coder.known.n <= 300 + 64 and coder.units.n <= 300 + 2 * 64
+    assert [len(x) for x in coder.encode([])] == [0, 0]
+
+
+def test_runs_used_most_stay_known(monkeypatch):
+    monkeypatch.setattr(token_output, "REMEMBERED", 200)
+    coder = token_output.Encoder(token_output.tokenizer_path("word_bpe_49k.json"))
+    often = [f"{a}{b}often" for a in "abcdef" for b in "klmno"]
+    seen = Counter()
+
+    class Counting:
+        model = coder.model
+
+        def tokenize(self, part):
+            seen[part] += 1
+            return self.model.tokenize(part)
+
+    coder.model = Counting()
+    for k in range(40):
+        rare = [f"rare{'abcdefghij'[k % 10]}{'klmn'[k // 10]}{a}{b}" for a in "abcdef" for b in "pqrstuvwxy"]
+        words = [*often, *rare, *often]
+        ids, counts = coder.encode([" ".join(words)])
+        assert ids.tolist() == coder.whole(" ".join(words)) and counts.tolist() == [len(ids)]
+    assert {seen[w] for w in often} == {1} and sum(seen.values()) == 30 + 40 * 60
+
+
 def test_secret_spans(spark, docs):
     assign = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
     extra = [(900, 'x Token: "abcdefgh" secret=pass:longlonglong AKIAABCDEFGH12345 AKIA12 ' + "0f" * 20 + " Ünïcode password = short token=0123456789abcdef0123456789abcdef", "en", "z", 1)]
