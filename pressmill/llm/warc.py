@@ -5,8 +5,10 @@ compressed with it. The dictionary is trained on a bounded sample of the records
 of smallest hash, the first SAMPLE_BYTES of each, which is more than a dictionary can hold). Of records with equal payloads that with the smallest page_id is a
 response, the others are revisits that name it; payloads below `least_bytes` are always responses.
 
-Files are written by Spark's committer, one row for each file: the line feed that it puts behind a row is the content of
-a last skippable frame, so each file is a plain Zstandard stream. The smallest page_id of each digest comes from partial
+Files are written by Spark's committer, in pieces of about PIECE_BYTES, a row each: the line feed that it puts behind a row
+is the content of a skippable frame, so each file is a plain Zstandard stream. Every file has the same number of rows;
+those left over when it is full are such frames alone. Read back, a file reaches Python in parts of PART_BYTES and is
+taken as a stream, so Arrow and Python hold no whole file; the JVM's heap still does, as binaryFile reads it whole. The smallest page_id of each digest comes from partial
 aggregates and is a table of its own with digests of several records only, so adaptive joins can split a hot payload.
 
 Edge cases: null html is an empty payload; a null page_id is never referred to and stays null; rows that repeat the
@@ -21,7 +23,8 @@ import hashlib
 import io
 import re
 import struct
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import groupby, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +39,8 @@ PAD_MAGIC = 0x184D2A50
 DICT_BYTES = 112_640
 SAMPLES, SAMPLE_BYTES = 400, 65_536
 FILE_BYTES = 24 << 20
+PIECE_BYTES = 1 << 18  # of an archive, in a row on its way to the writer
+PART_BYTES = 1 << 10  # of an archive, in a row on its way from the reader: Spark's 10,000 rows a batch are 10 MB then
 LEVEL = 3
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -82,14 +87,35 @@ def open_dictionary(raw: bytes) -> zstandard.ZstdCompressionDict | None:
     return zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_FULLDICT if trained else zstandard.DICT_TYPE_RAWCONTENT)
 
 
-def read_archive(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(headers, block) of each record of an archive."""
-    magic, size = struct.unpack_from("<II", data, 0)
+class _Parts(io.RawIOBase):
+    """A stream over consecutive parts of a file, one held at a time."""
+
+    def __init__(self, parts: Iterable[memoryview]) -> None:
+        self.parts, self.part = iter(parts), memoryview(b"")
+
+    def readable(self) -> bool:
+        return True
+
+    def readinto(self, into: memoryview) -> int:
+        while not self.part:
+            part = next(self.parts, None)
+            if part is None:
+                return 0
+            self.part = part
+        n = min(len(into), len(self.part))
+        into[:n], self.part = self.part[:n], self.part[n:]
+        return n
+
+
+def read_archive(data: bytes | io.BufferedIOBase) -> Iterator[tuple[dict[str, str], bytes]]:
+    """(headers, block) of each record of an archive: its bytes or a stream of them."""
+    source = data if isinstance(data, io.BufferedIOBase) else io.BytesIO(data)
+    magic, size = struct.unpack("<II", source.read(8))
     if magic != DICT_MAGIC:
         raise ValueError("the archive does not start with a dictionary frame")
-    shared = open_dictionary(bytes(data[8 : 8 + size]))
+    shared = open_dictionary(source.read(size))
     plain = zstandard.ZstdDecompressor(dict_data=shared) if shared else zstandard.ZstdDecompressor()
-    with plain.stream_reader(io.BytesIO(memoryview(data)[8 + size :]), read_across_frames=True) as raw:
+    with plain.stream_reader(source, read_across_frames=True, closefd=False) as raw:
         stream = io.BufferedReader(raw, 1 << 18)
         while line := stream.readline():
             if line.strip() != b"WARC/1.1":
@@ -118,6 +144,8 @@ def write(pages: DataFrame, path: str, least_bytes: int = 0, file_bytes: int = F
     raw = train_dictionary([record(None, None, bytes(r.payload), None) for r in sorted(sample.collect(), key=lambda r: (r.h, bytes(r.payload)))])
     shared = pages.sparkSession.sparkContext.broadcast(raw)  # at most DICT_BYTES
 
+    rows = max(1, -(-file_bytes // PIECE_BYTES))  # of a file
+
     def files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = open_dictionary(shared.value)
         if known:
@@ -125,23 +153,29 @@ def write(pages: DataFrame, path: str, least_bytes: int = 0, file_bytes: int = F
         packer = zstandard.ZstdCompressor(level=LEVEL, dict_data=known) if known else zstandard.ZstdCompressor(level=LEVEL)
         lead = skippable(DICT_MAGIC, shared.value)
         end = struct.pack("<II", PAD_MAGIC, 1)  # the writer's line feed follows
-        held, size = [lead], 0
+        piece = lambda frames: pa.RecordBatch.from_arrays([pa.array([b"".join([*frames, end])], pa.binary())], ["body"])
+        held, waiting, size, written = [lead], 0, 0, 0
         for batch in batches:
             ids, urls, firsts_ = (batch.column(k).to_pylist() for k in (0, 1, 3))
             for at, payload in enumerate(batch.column(2)):
                 refers = firsts_[at] if firsts_[at] is not None and firsts_[at] != ids[at] else None
                 frame = packer.compress(record(ids[at], urls[at], payload.as_buffer().to_pybytes(), refers))
                 held.append(frame)
+                waiting += len(frame)
                 size += len(frame)
+                if waiting >= PIECE_BYTES or size >= file_bytes:
+                    yield piece(held)
+                    held, waiting, written = [], 0, written + 1
                 if size >= file_bytes:
-                    yield pa.RecordBatch.from_arrays([pa.array([b"".join([*held, end])], pa.binary())], ["body"])
-                    held, size = [lead], 0
-        if size:
-            yield pa.RecordBatch.from_arrays([pa.array([b"".join([*held, end])], pa.binary())], ["body"])
+                    if written < rows:
+                        yield pa.RecordBatch.from_arrays([pa.array([end] * (rows - written), pa.binary())], ["body"])
+                    held, size, written = [lead], 0, 0
+        if waiting:
+            yield piece(held)
 
     marked = source.withColumn("digest", F.unhex(F.sha1("payload"))).join(firsts, "digest", "left")
     marked = marked.select("page_id", "url", "payload", F.when(F.octet_length("payload") >= least_bytes, F.col("first")).alias("first"))
-    marked.mapInArrow(files, "body binary").select(F.col("body").cast("string").alias("value")).write.option("maxRecordsPerFile", 1).text(path)
+    marked.mapInArrow(files, "body binary").select(F.col("body").cast("string").alias("value")).write.option("maxRecordsPerFile", rows).text(path)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
@@ -151,24 +185,41 @@ def read(spark: SparkSession, path: str) -> DataFrame:
         part = name.rpartition(":")[2].rstrip(">")
         return None if part == "null" else int(part)
 
-    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, memoryview]]:
+        """(number of the file, bytes) of the rows of one file that a batch holds."""
+        n = 0
         for batch in batches:
-            for content in batch.column(0):
-                rows = []
-                for head, block in read_archive(content.as_buffer()):
-                    digest, size = head["WARC-Payload-Digest"].removeprefix("sha1:"), int(head["WARC-X-Payload-Length"])
-                    if head["WARC-Type"] == "response":
-                        payload = block[len(HTTP) :]
-                        if len(payload) != size or base32_sha1(payload) != digest:
-                            raise ValueError(f"record {head['WARC-Record-ID']} is damaged")
-                    refers = number(head["WARC-Refers-To"]) if "WARC-Refers-To" in head else None
-                    rows.append((number(head["WARC-Record-ID"]), size, digest, head["WARC-Type"], refers))
-                if rows:
-                    types = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64())
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], [x.split()[0] for x in RESULT.split(", ")])
+            at, body = batch.column(0).to_numpy(), batch.column(1)
+            for i, j in pairwise([*sorted({0, *np.flatnonzero(at == 1).tolist()}), len(at)]):
+                if i < j:
+                    n += int(at[i] == 1)
+                    yield n, memoryview(C.utf8(body.slice(i, j - i))[0])
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = []
+
+        def taken() -> pa.RecordBatch:
+            types = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64())
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], [x.split()[0] for x in RESULT.split(", ")])
+
+        for _, file in groupby(parts(batches), key=lambda x: x[0]):
+            for head, block in read_archive(io.BufferedReader(_Parts(part for _, part in file))):
+                digest, size = head["WARC-Payload-Digest"].removeprefix("sha1:"), int(head["WARC-X-Payload-Length"])
+                if head["WARC-Type"] == "response":
+                    payload = block[len(HTTP) :]
+                    if len(payload) != size or base32_sha1(payload) != digest:
+                        raise ValueError(f"record {head['WARC-Record-ID']} is damaged")
+                refers = number(head["WARC-Refers-To"]) if "WARC-Refers-To" in head else None
+                rows.append((number(head["WARC-Record-ID"]), size, digest, head["WARC-Type"], refers))
+                if len(rows) >= C.CHUNK_ROWS:
+                    yield taken()
+                    rows = []
+        if rows:
+            yield taken()
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).where("length > 0").select("content")
-    return files.mapInArrow(parse, RESULT)
+    places = files.select("content", F.explode(F.sequence(F.lit(1), F.octet_length("content"), F.lit(PART_BYTES))).alias("at"))
+    return places.select("at", F.substring("content", F.col("at"), F.lit(PART_BYTES)).alias("part")).mapInArrow(parse, RESULT)
 
 
 def archive(pages: DataFrame, path: str | None = None, least_bytes: int = 0) -> DataFrame:

@@ -105,3 +105,34 @@ def test_warc(spark):
     assert got == {3: [(4, "revisit", 1)], 1: [(4, "response", None)] * 2, 2: [(0, "response", None)], None: [(4, "revisit", 1)], 4: [(0, "revisit", 2)], 5: [(1_000_000, "response", None)]}
     assert warc.archive(pages.limit(0)).count() == 0
     assert warc.archive(pages, least_bytes=5).where("record_type = 'revisit'").count() == 0
+
+
+def test_warc_batches_do_not_grow_with_the_file(spark, monkeypatch, tmp_path):
+    """No batch that Python sends or gets for an archive is near the size of the file."""
+    largest, frame = 11 << 20, type(spark.range(0))
+    plain = frame.mapInArrow
+
+    def bounded(self, func, schema, *args, **kwargs):
+        def small(batches, what):
+            for batch in batches:
+                if batch.nbytes > largest and "html" not in what:
+                    raise ValueError(f"{what}: a batch of {batch.nbytes} bytes")
+                yield batch
+
+        def run(batches):
+            yield from small(func(small(batches, "html to write" if "body" in schema else "read")), "result")
+
+        return plain(self, run, schema, *args, **kwargs)
+
+    monkeypatch.setattr(frame, "mapInArrow", bounded)
+    html = "array_join(transform(sequence(1, 128), i -> sha2(concat_ws(' ', id, i), 256)), '')"
+    pages = spark.range(0, 4400, 1, 1).selectExpr("id page_id", "'http://x/' url", f"{html} html").coalesce(1)
+    warc.write(pages, f"{tmp_path}/whole")
+    sizes = sorted(f.stat().st_size for f in (tmp_path / "whole").glob("part-*"))
+    assert len(sizes) == 1 and sizes[0] > 1.4 * largest
+    rows = warc.read(spark, f"{tmp_path}/whole").collect()
+    assert sorted(r["page_id"] for r in rows) == list(range(4400)) and {(r["payload_bytes"], r["record_type"]) for r in rows} == {(8192, "response")}
+    warc.write(pages, f"{tmp_path}/cut", file_bytes=3_000_000)
+    sizes = sorted(f.stat().st_size for f in (tmp_path / "cut").glob("part-*"))
+    assert len(sizes) == 7 and sizes[-1] < 3_200_000
+    assert sorted(warc.read(spark, f"{tmp_path}/cut").collect(), key=lambda r: r["page_id"]) == sorted(rows, key=lambda r: r["page_id"])
