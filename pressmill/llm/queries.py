@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, lang_cnn, line_crf, mixing, near_dedup, quality_mil, secret_scan, token_output, url_filter, warc
+from . import decontaminate, fill_middle, lang_cnn, line_crf, mixing, near_dedup, quality_mil, secret_scan, token_output, url_filter, warc
 
 TOKENIZER = "public:word_bpe_49k.json"
 
@@ -58,6 +58,10 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_read(spark, sf_dir, "documents"))
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.digests(_read(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -75,7 +79,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mix_sources": op8_mix_sources,
     "op9_quality_rules": op9_quality_rules,
     "op10_near_dedup": op10_near_dedup,
+    "op11_fill_middle": op11_fill_middle,
     "pipeline": pipeline,
 }
 
-ORACLE_SQL: dict[str, str] = {"op2_url_filter": url_filter.ORACLE, "op4_secret_scan": secret_scan.oracle(), "op5_warc": warc.ORACLE}
+ORACLE_SQL: dict[str, str] = {
+    "op2_url_filter": url_filter.ORACLE,
+    "op4_secret_scan": secret_scan.oracle(),
+    "op5_warc": warc.ORACLE,
+    "op11_fill_middle": fill_middle.ORACLE,
+}
