@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, fill_middle, lang_cnn, line_crf, mixing, near_dedup, quality_mil, secret_scan, token_output, url_filter, warc
+from . import decontaminate, fill_middle, lang_cnn, line_crf, mixing, near_dedup, quality_mil, secret_scan, simhash, token_output, url_filter, warc
 
 TOKENIZER = "public:word_bpe_49k.json"
 
@@ -62,6 +62,10 @@ def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_middle.digests(_read(spark, sf_dir, "documents"))
 
 
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_read(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -80,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_rules": op9_quality_rules,
     "op10_near_dedup": op10_near_dedup,
     "op11_fill_middle": op11_fill_middle,
+    "op12_simhash": op12_simhash,
     "pipeline": pipeline,
 }
 
