@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, fill_middle, lang_cnn, line_crf, mixing, near_dedup, quality_mil, secret_scan, simhash, token_output, url_filter, warc
+from . import decontaminate, dialogue_repair, fill_middle, lang_cnn, line_crf, mixing, near_dedup, quality_mil, secret_scan, simhash, token_output, url_filter, warc
 
 TOKENIZER = "public:word_bpe_49k.json"
 
@@ -66,6 +66,10 @@ def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_read(spark, sf_dir, "documents"))
 
 
+def op13_dialogue_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dialogue_repair.damaged_and_repaired(_read(spark, sf_dir, "conversations"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -85,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_near_dedup": op10_near_dedup,
     "op11_fill_middle": op11_fill_middle,
     "op12_simhash": op12_simhash,
+    "op13_dialogue_repair": op13_dialogue_repair,
     "pipeline": pipeline,
 }
 
@@ -93,4 +98,5 @@ ORACLE_SQL: dict[str, str] = {
     "op4_secret_scan": secret_scan.oracle(),
     "op5_warc": warc.ORACLE,
     "op11_fill_middle": fill_middle.ORACLE,
+    "op13_dialogue_repair": dialogue_repair.oracle(),
 }
