@@ -2,8 +2,8 @@
 
 A rule (action, host, path) fits its host and all subdomains when the url's path starts with the rule's path; the
 longest rule wins (characters of host and path, then of the host). Reversed host labels, each closed by a point, turn a host
-and its subdomains into the interval from its key to the key followed by the last code point; a separator and the path behind
-the key do the same for the paths of a rule's host. Such intervals nest, so at each place the open ones are a stack.
+and its subdomains into the interval from its key to the key followed by the byte 0xFF; a separator and the path behind
+the key do the same for the paths of a rule's host. Keys are compared as the bytes of UTF-8, in which 0xFF never stands. Such intervals nest, so at each place the open ones are a stack.
 
 Two sweeps, of hosts and then of paths. In each, interval starts, interval ends and the distinct probes are range-partitioned
 by key and sorted. An event carries the stack that holds from there on (a start: its own interval on top of those around
@@ -13,8 +13,8 @@ hosts that it lies under, at most one for each label; most urls lie under none a
 host and path that are left the stack of rules that fit; the top one is the longest of that host, and the longest of all
 hosts wins. Equal probes are collapsed beforehand and probes differ, so no key can fill a partition.
 
-Edge cases: a null url and one without '://' have an empty host and path and fit no rule, unless a rule's host is empty;
-rules with the same host and path count once (block before allow), null parts of a rule count as empty; repeated rows give
+Edge cases: a null url and one without '://' have an empty host and path and fit no rule, unless a rule's host is empty; a very long url is cut
+to the part that rules can see before it is swept; rules with the same host and path count once (block before allow), null parts of a rule count as empty; repeated rows give
 repeated results; empty tables give an empty result or the default verdict; extra columns are ignored.
 """
 
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from . import common as C
 
-LAST = "\U0010ffff"
+LAST = b"\xff"  # in no UTF-8 text, and behind all of its bytes
 SEP = "\x01"
 DEFAULT = "allow"
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
@@ -47,6 +47,10 @@ def _reversed(labels: Column) -> Column:
     return F.array_join(F.reverse(labels), ".")
 
 
+def _bytes(text: Column | str) -> Column:
+    return F.encode(text, "UTF-8")
+
+
 def _sweep(events: DataFrame, probes: DataFrame) -> DataFrame:
     """(probe columns, top): the state of the last event at or before each probe's key. events: key, state struct; probes: key, probe struct."""
     state = events.schema["state"].dataType
@@ -71,8 +75,8 @@ def _stacks(intervals: DataFrame, prefixes: Column, value: str) -> DataFrame:
 
 def _events(stacks: DataFrame) -> DataFrame:
     """Starts and ends of intervals, each with the stack that holds from there on."""
-    starts = stacks.select("key", F.struct("stack").alias("state"))
-    return starts.union(stacks.select(F.concat("key", F.lit(LAST)), F.struct(F.slice("stack", F.lit(1), F.size("stack") - 1).alias("stack"))))
+    starts = stacks.select(_bytes("key").alias("key"), F.struct("stack").alias("state"))
+    return starts.union(stacks.select(F.concat(_bytes("key"), F.lit(LAST)), F.struct(F.slice("stack", F.lit(1), F.size("stack") - 1).alias("stack"))))
 
 
 def judge(pages: DataFrame, rules: DataFrame, default: str = DEFAULT) -> DataFrame:
@@ -95,11 +99,11 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = DEFAULT) -> DataFra
     hosts = clean.select(F.col("at_host").alias("key")).distinct().withColumn("own", F.col("key"))
     parts = F.split(F.expr("substring(key, 1, length(key) - 1)"), r"\.")
     shorter = F.when(F.size(parts) > 1, F.transform(F.sequence(F.lit(1), F.size(parts) - 1), lambda n: F.concat(F.array_join(F.slice(parts, F.lit(1), n), "."), F.lit("."))))
-    probes = seen.select(F.col("near").alias("key")).distinct().select("key", F.struct(F.col("key").alias("near")).alias("probe"))
+    probes = seen.select("near").distinct().select(_bytes("near").alias("key"), F.struct("near").alias("probe"))
     under = _sweep(_events(_stacks(hosts, shorter, "own")), probes).where("size(top.stack) > 0").select("probe.near", F.explode("top.stack").alias("at_host"))
     # the sweep of paths, for each rule host that a url lies under
     cut = F.when(F.length("p") > 0, F.transform(F.sequence(F.lit(1), F.length("p")), lambda n: F.expr("key").substr(F.lit(1), F.length("key") - n)))
-    probes = seen.join(C.materialize(under, "under"), "near").select(F.concat("at_host", F.lit(SEP), "lead").alias("key"), F.struct("near", "lead").alias("probe"))
+    probes = seen.join(C.materialize(under, "under"), "near").select(_bytes(F.concat("at_host", F.lit(SEP), "lead")).alias("key"), F.struct("near", "lead").alias("probe"))
     tops = _sweep(_events(_stacks(clean, cut, "mine")), probes).where("size(top.stack) > 0").select("probe", F.element_at("top.stack", -1).alias("open"))
     best = tops.groupBy("probe").agg(F.max("open").alias("best"))
     found = C.materialize(best.select(F.col("probe.near").alias("near"), F.col("probe.lead").alias("lead"), F.col("best.rule").alias("rule"), F.col("best.action").alias("action")), "found")
