@@ -88,16 +88,16 @@ def assign_columns(df: DataFrame, share: float = 0.1) -> DataFrame:
 
 
 def page_blocks(df: DataFrame, key: list[str]) -> DataFrame:
-    """page_block: spanning titles (column 0), numbered by bottom edge, start blocks; a box is in the last one with y1 in [its y1, the next one's y1)."""
+    """page_block: spanning titles (column 0), numbered by bottom edge, start blocks; a box is in the last one that begins at or above its top (0: none).
+
+    As an as-of join in one pass: titles and boxes of a page are one sorted stream, and the highest number so far holds.
+    """
+    opens = (F.col("class") == "title") & (F.col("column_number") == 0)
     order = Window.partitionBy("page_id").orderBy("center_y", *key)
-    seps = df.where("class = 'title' and column_number = 0").select("page_id", F.col("y1").alias("_from"), *[F.col(k).alias(f"_{k}") for k in key], F.row_number().over(order).alias("_i"), F.lead("y1").over(order).alias("_to"))
-    both = df.alias("b").join(seps.alias("s"), "page_id", "left")
-    same = F.lit(True)
-    for k in key:
-        same &= F.col(k) == F.col(f"_{k}")
-    inside = same | ((F.col("y1") >= F.col("_from")) & (F.col("_to").isNull() | (F.col("y1") < F.col("_to"))))
-    found = both.groupBy("page_id", *key).agg(F.coalesce(F.max(F.when(inside, F.col("_i"))), F.lit(0)).alias("page_block"))
-    return df.join(found, ["page_id", *key])
+    number = F.when(opens, F.sum(opens.cast("int")).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    above = F.max("_number").over(Window.partitionBy("page_id").orderBy("y1").rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    found = F.when(F.col("y1").isNull(), F.col("_number")).otherwise(above)
+    return df.withColumn("_number", number).withColumn("page_block", F.coalesce(found, F.lit(0)).cast("int")).drop("_number")
 
 
 def reading_order(df: DataFrame, key: list[str]) -> DataFrame:

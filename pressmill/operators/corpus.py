@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geometry import cosine
+from .ordering import numbered
 
 
 def monthly_counts(df: DataFrame, group: str, day: Column) -> DataFrame:
@@ -96,9 +97,9 @@ def split_by_hash(df: DataFrame, key: str, share: float, seed: int) -> DataFrame
     return df.withColumn("is_train", _hash(key, seed) % 1000 < int(share * 1000))
 
 
-def batch_numbers(df: DataFrame, group: str, order: list[str], size: int = 100) -> DataFrame:
-    at = F.row_number().over(Window.partitionBy(group).orderBy(*order)) - 1
-    return df.withColumn("batch", F.floor(at / size) + 1)
+def batch_numbers(df: DataFrame, group: str | None, order: list[str], size: int = 100) -> DataFrame:
+    """batch, from 1: `size` rows each in order, over all rows or in each group."""
+    return numbered(df, order, [group] if group else [], "_place").withColumn("batch", F.floor(F.col("_place") / size) + 1).drop("_place")
 
 
 def one_hot(df: DataFrame, key: str, labels: str, classes: list) -> DataFrame:

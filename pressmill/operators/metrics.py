@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ordering import joined_by, order_statistics
+
 _AGGREGATES = {"mean": F.avg, "median": F.median, "std": F.stddev_samp}
 
 
@@ -12,17 +14,23 @@ def metric_pivot(df: DataFrame, index: str, columns: str, value: str, how: str =
     """One row per index value, one column per value of `columns`, rounded; how: mean, median or std."""
     if how not in _AGGREGATES:
         raise ValueError(f"how must be one of {sorted(_AGGREGATES)}, not {how!r}")
+    if how == "median":
+        middles = order_statistics(df, [index, columns], value, [0.5]).select(index, columns, F.col("q0").alias(value))
+        every = df.select(index).distinct()  # also those without values
+        return joined_by(every, middles.groupBy(index).pivot(columns, names).agg(F.round(F.first(value), places)), [index])
     return df.groupBy(index).pivot(columns, names).agg(F.round(_AGGREGATES[how](value), places))
 
 
 def mean_median(df: DataFrame, keys: list[str], value: str, places: int = 2) -> DataFrame:
-    return df.groupBy(*keys).agg(F.round(F.avg(value), places).alias(f"{value}_mean"), F.round(F.median(value), places).alias(f"{value}_median"))
+    means = df.groupBy(*keys).agg(F.round(F.avg(value), places).alias(f"{value}_mean"))
+    return joined_by(means, order_statistics(df, keys, value, [0.5]).select(*keys, F.round("q0", places).alias(f"{value}_median")), keys)
 
 
 def percentage_errors(df: DataFrame, keys: list[str], truth: Column, guess: Column, places: int = 2) -> DataFrame:
     """Mean and median absolute percentage error; the divisor is at least the machine epsilon."""
     ape = F.abs(truth - guess) / F.greatest(F.abs(truth), F.lit(2.220446049250313e-16))
-    return df.groupBy(*keys).agg(F.round(F.avg(ape) * 100, places).alias("mape"), F.round(F.median(ape) * 100, places).alias("median_ape"))
+    means = df.groupBy(*keys).agg(F.round(F.avg(ape) * 100, places).alias("mape"))
+    return joined_by(means, order_statistics(df, keys, ape, [0.5]).select(*keys, F.round(F.col("q0") * 100, places).alias("median_ape")), keys)
 
 
 def share_below(value: Column, limit: float) -> Column:
@@ -30,10 +38,9 @@ def share_below(value: Column, limit: float) -> Column:
 
 
 def describe(df: DataFrame, value: str, keys: list[str] = []) -> DataFrame:  # noqa: B006
-    quartiles = F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    parts = [F.count(value).alias("n"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"), F.min(value).alias("least"), quartiles.alias("_q"), F.max(value).alias("most")]
-    out = df.groupBy(*keys).agg(*parts)
-    return out.select(*keys, "n", "mean", "std", "least", *[F.col("_q")[k].alias(f"q{25 * (k + 1)}") for k in range(3)], "most")
+    parts = [F.count(value).alias("n"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"), F.min(value).alias("least"), F.max(value).alias("most")]
+    quartiles = order_statistics(df, keys, value, [0.25, 0.5, 0.75]).select(*keys, *[F.col(f"q{k}").alias(f"q{25 * (k + 1)}") for k in range(3)])
+    return joined_by(df.groupBy(*keys).agg(*parts), quartiles, keys).select(*keys, "n", "mean", "std", "least", "q25", "q50", "q75", "most")
 
 
 def rank_in(df: DataFrame, keys: list[str], value: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..functions import text_udf as U
 from ..operators import align, articles, corpus, finish, metrics, quality, search, segments
-from ..sources.io import table
+from ..sources.io import table, with_unique_ids
 
 DOC_TITLE = "upper(content) = content AND length(regexp_replace(content, '[^A-Z]', '', 'g')) >= 5 AND length(regexp_replace(content, '[^AEIOU]', '', 'g')) >= 2"
 
@@ -212,6 +212,13 @@ def batch_number(spark, d):
 BATCH_NUMBER = "SELECT doc_id, source, CAST((row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1) // 20 + 1 AS BIGINT) AS batch FROM documents"
 
 
+def global_batches(spark, d):
+    return corpus.batch_numbers(table(spark, d, "documents").select("doc_id"), None, ["doc_id"])
+
+
+GLOBAL_BATCHES = "SELECT doc_id, CAST((row_number() OVER (ORDER BY doc_id) - 1) // 100 + 1 AS BIGINT) AS batch FROM documents"
+
+
 def _pairs(spark, d):
     b = table(spark, d, "benchmark")
     fold = lambda c: F.regexp_replace(F.lower(c), ASCII, "?")
@@ -272,8 +279,7 @@ URL_PARTS = "SELECT page_id, split_part(url, '://', 1) AS scheme, split_part(spl
 def page_ids(spark, d):
     path = F.concat(F.col("source"), F.lit("/Sept "), F.col("doc_id"), F.lit(" (p1).jp2"))
     df = table(spark, d, "documents").select("doc_id", "source", T.page_id(path).alias("page_id"), T.image_identifier(path).alias("image_id"))
-    again = F.row_number().over(Window.partitionBy("source").orderBy("doc_id")) - 1
-    return df.withColumn("unique_id", F.when(again == 0, F.col("source")).otherwise(F.concat("source", F.lit("_ext"), again)))
+    return with_unique_ids(df, "source", ["doc_id"], "unique_id")
 
 
 PAGE_IDS = """SELECT doc_id, source, rtrim(source || '__Sept_' || doc_id || '_p1_', '._') AS page_id, source || '%2FSept%20' || doc_id || '%20%28p1%29.jp2' AS image_id,
@@ -390,7 +396,7 @@ RUN_SUMMARY = "SELECT count(DISTINCT conv_id % 50) AS pages, count(*) AS regions
 NAMES = [
     "word_candidates", "run_summary",
     "doc_counts", "title_lines", "articles_from_documents", "articles_from_conversations", "merge_title_runs", "merge_title_runs_compat", "clean_line_breaks", "fragment_share", "quality_flags", "layout_json_flag",
-    "keyword_filter_ci", "custom_id_decompose", "segment_totals", "segment_knit", "semi_sample", "anti_processed", "hash_split", "batch_number", "cer_pairs_ascii", "micro_error_rates", "worst_pages", "word_error_pairs",
+    "keyword_filter_ci", "custom_id_decompose", "segment_totals", "segment_knit", "semi_sample", "anti_processed", "hash_split", "batch_number", "global_batches", "cer_pairs_ascii", "micro_error_rates", "worst_pages", "word_error_pairs",
     "html_text", "url_parts", "page_ids", "normalise_text", "fold_text", "cache_key", "phrase_search", "search_page_counts", "reading_ease", "align_regions", "label_parse", "request_jsonl",
 ]
 QUERIES = {n: globals()[n] for n in NAMES}

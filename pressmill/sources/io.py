@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import page_id
+from ..operators.ordering import numbered
 
 SCAN_SUFFIXES = (".jp2", ".tif", ".tiff", ".png", ".jpg", ".jpeg")
 RESPONSE = "id string, custom_id string, response struct<body struct<usage struct<prompt_tokens int, completion_tokens int, total_tokens int>, choices array<struct<finish_reason string, message struct<content string>>>>>"
@@ -27,10 +28,14 @@ def discover_scans(spark: SparkSession, folder: str, suffixes: tuple[str, ...] =
     rel = F.regexp_replace(F.expr(f"substring(path, locate('{root}', path) + {len(root)})"), r"^/+", "")
     known = files.select("path", rel.alias("relpath")).where(F.lower("relpath").rlike("(" + "|".join(s.replace(".", r"\.") for s in suffixes) + ")$") & ~F.col("relpath").rlike(r"(^|/)\."))
     ids = known.withColumn("base", page_id(F.col("relpath")))
-    again = F.row_number().over(Window.partitionBy("base").orderBy("relpath")) - 1
-    ids = ids.withColumn("page_id", F.when(again == 0, F.col("base")).otherwise(F.concat("base", F.lit("_ext"), again)))
-    # a listing is one small row per file; the running number is over the listing only
-    return ids.withColumn("seq", F.row_number().over(Window.orderBy("relpath")) - 1).drop("base")
+    unique = numbered(with_unique_ids(ids, "base", ["relpath"], "page_id"), ["relpath"], name="seq")
+    return unique.select("path", "relpath", "page_id", "seq")
+
+
+def with_unique_ids(df: DataFrame, base: str, order: list[str], name: str) -> DataFrame:
+    """name: the base id, with _ext<n> behind it where it was there n times before."""
+    again = numbered(df, order, [base], "_again")
+    return again.withColumn(name, F.when(F.col("_again") == 0, F.col(base)).otherwise(F.concat(F.col(base), F.lit("_ext"), F.col("_again")))).drop("_again")
 
 
 def read_parquet_folder(spark: SparkSession, folder: str, name_column: str, columns: list[str] | None = None) -> DataFrame:
