@@ -24,7 +24,7 @@ def continues(word: dict, after: dict | None) -> bool:
 def search_text(words: Sequence[dict], match_case: bool = False) -> tuple[str, np.ndarray, np.ndarray]:
     """A page's text with each word's start and end in it: hyphenation joined, regions on lines of their own."""
     parts, starts, ends, at = [], [], [], 0
-    for word, after in zip(words, [*words[1:], None], strict=True):
+    for word, after in zip(words, [*words[1:], None][: len(words)], strict=True):  # none on an empty page
         joined = continues(word, after)
         piece = fold_search(word["text"][:-1] if joined else word["text"], match_case)
         gap = "" if after is None or joined else "\n" if after["region"] != word["region"] else " "

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions import text_udf as U
-from ..operators import align, articles, corpus, finish, metrics, quality, search, segments
+from ..operators import align, anchors, articles, corpus, finish, metrics, phrase_index, quality, segments
 from ..sources.io import table, with_unique_ids
 
 DOC_TITLE = "upper(content) = content AND length(regexp_replace(content, '[^A-Z]', '', 'g')) >= 5 AND length(regexp_replace(content, '[^AEIOU]', '', 'g')) >= 2"
@@ -319,7 +319,8 @@ def _page_words(spark, d):
 
 
 def phrase_search(spark, d):
-    hits = search.phrase_hits(_page_words(spark, d), "and the", whole_word=True)
+    pages = _page_words(spark, d)
+    hits = phrase_index.hits(pages, phrase_index.places(pages), "and the", whole_word=True)
     return hits.select("page_id", "word", "n_words", "line_height", "snippet", F.size("boxes").alias("n_boxes"))
 
 
@@ -329,6 +330,31 @@ h AS (SELECT doc_id, words, unnest(list_filter(range(0, len(words) - 1), lambda
 SELECT doc_id AS page_id, CAST(i AS INTEGER) AS word, 2 AS n_words, 20.0::DOUBLE AS line_height, array_to_string(words[greatest(i - 6, 0) + 1 : i + 8], ' ') AS snippet, CASE WHEN i % 12 = 11 THEN 2 ELSE 1 END AS n_boxes FROM h"""
 
 
+def phrase_function(spark, d):
+    """The same hits by the table function, over one row for each word."""
+    phrase_index.register(spark)
+    words = _page_words(spark, d).select("page_id", F.posexplode("words").alias("at", "w")).select("page_id", "at", "w.*")
+    call = "SELECT * FROM find_phrase(TABLE({words}) PARTITION BY (page_id) ORDER BY (at), 'and the', false, true)"
+    return spark.sql(call, words=words).select("page_id", "word", "n_words", "line_height", "snippet", F.size("boxes").alias("n_boxes"))
+
+
+PHRASE_FUNCTION = PHRASE_SEARCH
+
+
+def token_postings(spark, d):
+    """Of the index's postings: pages, places and the widest distance between two places of one page, by token."""
+    p = phrase_index.postings(phrase_index.places(_page_words(spark, d)))
+    wide = F.element_at("words", -1) - F.get("words", F.lit(0))
+    return p.groupBy("token").agg(F.count("*").alias("pages"), F.sum("n").alias("n"), F.max(wide).alias("widest"))
+
+
+TOKEN_POSTINGS = f"""WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> '') AS words FROM documents),
+p AS (SELECT doc_id, unnest(words) AS word, unnest(range(0, len(words))) AS pos FROM w),
+f AS (SELECT {FOLDED_SQL.format("lower(strip_accents(word))")} AS token, doc_id, pos FROM p),
+g AS (SELECT token, doc_id, count(*) AS n, max(pos) - min(pos) AS wide FROM f GROUP BY ALL)
+SELECT token, count(*) AS pages, sum(n)::BIGINT AS n, max(wide)::INTEGER AS widest FROM g GROUP BY token"""
+
+
 def search_page_counts(spark, d):
     text = F.lower(F.array_join(T.words(F.col("text")), " "))
     n = F.regexp_count(text, F.lit("and the"))
@@ -359,6 +385,34 @@ def align_regions(spark, d):
     return out.select("region_id", "score", "n_chandra_tokens", "n_tesseract_words", "n_matched", F.size("lines").alias("n_lines"), F.array_join(F.transform("words", lambda w: w["text"]), " ").alias("placed"))
 
 
+def _two_readings(spark, d):
+    """Turns and a second reading of them: every seventh word lost its first letter, every eleventh is gone, and of every third turn the halves changed places."""
+    words = F.filter(F.split("text", r"\s+"), lambda w: w != "")
+    turns = table(spark, d, "conversations").select("conv_id", "turn", words.alias("left")).where("size(left) > 0")
+    bent = F.transform("left", lambda w, i: F.when((i % 7 == 3) & (F.length(w) > 3), F.substring(w, F.lit(2), F.length(w))).when(i % 11 != 10, w))
+    half = F.floor(F.size("left") / 2).cast("int")
+    turned = F.when(F.col("turn") % 3 == 2, F.concat(F.slice(bent, half + 1, F.size("left")), F.slice(bent, 1, half))).otherwise(bent)
+    return turns.select("conv_id", "turn", "left", F.filter(turned, lambda w: w.isNotNull()).alias("right"))
+
+
+def token_anchors(spark, d):
+    return anchors.anchors(_two_readings(spark, d), ["conv_id", "turn"])
+
+
+TOKEN_ANCHORS = r"""WITH w AS (SELECT conv_id, turn, list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> '') AS a FROM conversations),
+x AS (SELECT *, list_transform(range(0, len(a)), lambda i: CASE WHEN i % 7 = 3 AND length(a[i + 1]) > 3 THEN substr(a[i + 1], 2) WHEN i % 11 <> 10 THEN a[i + 1] END) AS b, len(a) // 2 AS h FROM w WHERE len(a) > 0),
+y AS (SELECT conv_id, turn, a, list_filter(CASE WHEN turn % 3 = 2 THEN list_concat(b[h + 1:], b[1:h]) ELSE b END, lambda t: t IS NOT NULL) AS b FROM x),
+l AS (SELECT conv_id, turn, unnest(list_transform(range(0, greatest(len(a) - 2, 0)), lambda i: {'g': array_to_string(a[i + 1:i + 3], chr(31)), 'at': i})) AS s FROM y),
+r AS (SELECT conv_id, turn, unnest(list_transform(range(0, greatest(len(b) - 2, 0)), lambda i: {'g': array_to_string(b[i + 1:i + 3], chr(31)), 'at': i})) AS s FROM y),
+lu AS (SELECT conv_id, turn, s.g AS g, min(s.at) AS left_at FROM l GROUP BY ALL HAVING count(*) = 1),
+ru AS (SELECT conv_id, turn, s.g AS g, min(s.at) AS right_at FROM r GROUP BY ALL HAVING count(*) = 1)
+SELECT conv_id, turn, CAST(left_at AS INTEGER) AS left_at, CAST(right_at AS INTEGER) AS right_at FROM lu JOIN ru USING (conv_id, turn, g)"""
+
+
+def token_alignment(spark, d):
+    return anchors.align_streams(_two_readings(spark, d), ["conv_id", "turn"])
+
+
 def label_parse(spark, d):
     raw = F.concat(F.lit("```json\n{'class': "), F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("["), F.col("doc_id") % 18, F.lit(", 4]"))).when(F.col("doc_id") % 3 == 1, (F.col("doc_id") % 7).cast("string")).otherwise("unclear"), F.lit("}\n```"))
     return table(spark, d, "labels").select("doc_id", F.concat_ws(",", T.parse_label(raw).cast("array<string>")).alias("codes"))
@@ -397,7 +451,7 @@ NAMES = [
     "word_candidates", "run_summary",
     "doc_counts", "title_lines", "articles_from_documents", "articles_from_conversations", "merge_title_runs", "merge_title_runs_compat", "clean_line_breaks", "fragment_share", "quality_flags", "layout_json_flag",
     "keyword_filter_ci", "custom_id_decompose", "segment_totals", "segment_knit", "semi_sample", "anti_processed", "hash_split", "batch_number", "global_batches", "cer_pairs_ascii", "micro_error_rates", "worst_pages", "word_error_pairs",
-    "html_text", "url_parts", "page_ids", "normalise_text", "fold_text", "cache_key", "phrase_search", "search_page_counts", "reading_ease", "align_regions", "label_parse", "request_jsonl",
+    "html_text", "url_parts", "page_ids", "normalise_text", "fold_text", "cache_key", "phrase_search", "phrase_function", "token_postings", "search_page_counts", "reading_ease", "align_regions", "token_anchors", "token_alignment", "label_parse", "request_jsonl",
 ]
 QUERIES = {n: globals()[n] for n in NAMES}
 ORACLE_SQL = {n: globals()[n.upper()] for n in NAMES if n.upper() in globals()}

@@ -13,9 +13,10 @@ def test_token_form(raw, want):
     assert U.normalise_token(raw) == want
 
 
-def test_normalise_joins_hyphenation_and_folds():
-    assert U.normalise("Light-\n house  “x”") == 'Lighthouse "x"'
-    assert U.normalise("a — b", dashes=True) == "a-b"
+def test_normalise_joins_hyphenation_and_folds(spark):
+    row = spark.createDataFrame([("Light-\n house  “x”", "a — b", "\u00a0 ſo\u2003ﬁne – - — ok\n", None)], "a string, b string, c string, d string")
+    got = row.select(U.normalise_text("a"), U.normalise_dashes("b"), U.normalise_text("c"), U.normalise_dashes("c"), U.normalise_text("d")).first()
+    assert tuple(got) == ('Lighthouse "x"', "a-b", "so fine - - - ok", "so fine---ok", None)
 
 
 def test_html_table_and_blocks():
