@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..sources.scratch import dropped, written
 
-BUCKETS = 1024
+BUCKETS = 1 << 14
 
 
 def numbered(df: DataFrame, order: list[str], keys: list[str] = [], name: str = "number") -> DataFrame:  # noqa: B006

@@ -86,9 +86,10 @@ def places(pages: DataFrame, match_case: bool = False) -> DataFrame:
     return pages.where("page_id is not null and words is not null").select(F.col("page_id").cast("long").alias("page_id"), "words").mapInArrow(run, PLACES)
 
 
-def index(pages: DataFrame, match_case: bool = False) -> DataFrame:
-    """places(), written in ranges of tokens, so that a search reads the row groups of its words."""
-    return written(places(pages, match_case).repartitionByRange("token", "page_id", "word").sortWithinPartitions("token", "page_id", "word"), "places")
+def index(pages: DataFrame, match_case: bool = False, ranges: bool = True) -> DataFrame:
+    """places(), written once; in ranges of tokens, so that a search reads the row groups of its words, or as they come, for a few searches."""
+    every = places(pages, match_case)
+    return written(every.repartitionByRange("token", "page_id", "word").sortWithinPartitions("token", "page_id", "word") if ranges else every, "places")
 
 
 def postings(indexed: DataFrame) -> DataFrame:
@@ -157,8 +158,9 @@ def hits(pages: DataFrame, indexed: DataFrame, query: str, match_case: bool = Fa
     def take(kept: Column, h: Column) -> Column:
         return F.when((F.size(kept) == 0) | (h["start"] >= F.element_at(kept, -1)["stop"]), F.concat(kept, F.array(h))).otherwise(kept)
 
-    apart = listed.select("page_id", F.aggregate("all", F.slice("all", 1, 0), take).alias("all"))
-    told = apart.join(pages.select("page_id", "words"), "page_id").select("page_id", "words", F.explode("all").alias("hit"))
+    apart = written(listed.select("page_id", F.aggregate("all", F.slice("all", 1, 0), take).alias("all")), "hits")
+    wanted = pages.join(apart.select("page_id"), "page_id", "left_semi")  # before anything is made of a page's words
+    told = apart.join(wanted.select("page_id", "words"), "page_id").select("page_id", "words", F.explode("all").alias("hit"))
     own = F.slice("words", F.col("hit.first") + 1, F.col("hit.last") - F.col("hit.first") + 1)
     told = told.select("page_id", F.col("hit.first").alias("word"), own.alias("own"), F.slice("words", F.greatest(F.col("hit.first") - BEFORE, F.lit(0)) + 1, F.least(F.col("hit.first"), F.lit(BEFORE)) + AFTER).alias("around")).where("size(own) > 0")
     box = lambda x, y, w, h: F.struct(x.alias("x"), y.alias("y"), w.alias("w"), h.alias("h"))

@@ -320,7 +320,7 @@ def _page_words(spark, d):
 
 def phrase_search(spark, d):
     pages = _page_words(spark, d)
-    hits = phrase_index.hits(pages, phrase_index.places(pages), "and the", whole_word=True)
+    hits = phrase_index.hits(pages, phrase_index.index(pages, ranges=False), "and the", whole_word=True)
     return hits.select("page_id", "word", "n_words", "line_height", "snippet", F.size("boxes").alias("n_boxes"))
 
 
