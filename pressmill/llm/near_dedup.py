@@ -20,7 +20,7 @@ execution splits the skewed ones.
 
 Edge cases: byte-equal texts are exact copies and share one class, whatever their length (a text without words has no
 near copies); a null text is a class of its own; the class id is the smallest doc_id in the class. Rows without doc_id
-get a null class. Repeated rows are exact copies. An empty table gives an empty result; extra columns are ignored.
+get a null class. Repeated rows are exact copies. A very long text is signed and compared whole. An empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations

@@ -13,7 +13,8 @@ aggregates and is a table of its own with digests of several records only, so ad
 
 Edge cases: null html is an empty payload; a null page_id is never referred to and stays null; rows that repeat the
 smallest page_id of a payload are all responses; a null url gives a record without a target; control characters in urls
-are percent-encoded; an empty table gives no record; extra columns are ignored.
+are percent-encoded; a very long payload is one record, held whole while it is written; an empty table gives no record; extra
+columns are ignored.
 """
 
 from __future__ import annotations
