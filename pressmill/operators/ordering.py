@@ -34,9 +34,10 @@ def order_statistics(df: DataFrame, keys: list[str], value: str | Column, shares
 
     A rank is found by narrowing: values between the bounds known so far are counted in BUCKETS buckets (partial sums in
     each task), and the bucket that holds the rank gives the next bounds, its least and largest value, until both are equal.
-    What is shuffled are the counts. Groups without values are left out.
+    What is shuffled are the counts. Groups without values are left out. The values are a written table: sums of doubles
+    may come out otherwise when they are computed again, and then the bounds of one pass would miss the values of the next.
     """
-    source = df.select(*keys, (F.col(value) if isinstance(value, str) else value).cast("double").alias("_v")).where("_v is not null and not isnan(_v)")
+    source = written(df.select(*keys, (F.col(value) if isinstance(value, str) else value).cast("double").alias("_v")).where("_v is not null and not isnan(_v)"), "values")
     known = source.groupBy(*keys).agg(F.count("*").alias("n"), F.min("_v").alias("_low"), F.max("_v").alias("_high")).where("n > 0")
     at = F.array(*[F.lit(float(s)) for s in shares])
     ranks = F.array_distinct(F.flatten(F.transform(at, lambda s: F.array(F.floor(s * (F.col("n") - 1)), F.ceil(s * (F.col("n") - 1))))))
@@ -60,6 +61,7 @@ def order_statistics(df: DataFrame, keys: list[str], value: str | Column, shares
         if open_ is not sizes:
             dropped(open_)
         open_ = after
+    dropped(source)
     of = F.map_from_entries(F.collect_list(F.struct("_rank", "_low")))
     groups = open_.groupBy(*keys).agg(F.first("n").alias("n"), of.alias("_of")).where("n is not null")
 

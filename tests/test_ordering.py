@@ -58,3 +58,11 @@ def test_no_task_sees_all_values_of_a_group(spark):
     frame = spark.range(0, 200_000, 1, 8).select(F.lit("one").alias("g"), (F.col("id") % 99_991).cast("double").alias("v"))
     row = ordering.order_statistics(frame, ["g"], "v", [0.5]).first()
     assert row.q0 == float(np.median(np.arange(200_000) % 99_991))
+
+
+def test_values_that_change_when_computed_again(spark):
+    """As sums of doubles do that are added in the order in which they arrive."""
+    shaken = F.udf(lambda k: k + random.random() / 2, "double").asNondeterministic()
+    frame = spark.range(0, 2001, 1, 4).select((F.col("id") % 2).alias("g"), shaken(F.col("id").cast("double")).alias("v"))
+    rows = ordering.order_statistics(frame, ["g"], "v", [0.0, 0.5, 1.0]).collect()
+    assert sorted((r.g, r.n, int(r.q0), int(r.q1), int(r.q2)) for r in rows) == [(0, 1001, 0, 1000, 2000), (1, 1000, 1, 1000, 1999)]
