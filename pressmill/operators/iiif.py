@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -53,19 +55,27 @@ def page_documents(regions: DataFrame, manifest_base: str, image_base: str, lang
     arrays lines and words of STRUCT<text, box[, match]>. Suspect regions are left out, blocks need text.
     """
     base = F.concat(F.lit(f"{manifest_base.rstrip('/')}/"), image_identifier(F.col("page_id")))
-    df = regions.withColumns({"_base": base, "_canvas": F.concat(base, F.lit("/canvas/p1"))})
-    shown = F.coalesce(F.col("suspect"), F.lit("")) == ""
-    ident = lambda kind, *more: F.concat(F.col("_base"), F.lit(f"/annotation/{kind}/"), F.col("box_page_id"), *more)
-    block = F.when(shown & (F.coalesce("text", F.lit("")) != ""), annotation(ident("block"), _quoted(xywh(F.col("_canvas"), F.col("box"))), F.col("text"), "block", language, F.col("class")))
-
-    def each(column: str, kind: str) -> Column:
-        tagged = "match" in df.select(F.explode(column).alias("e")).schema["e"].dataType.names
-        one = lambda e, n: annotation(ident(kind, F.lit("-"), n.cast("string")), _quoted(xywh(F.col("_canvas"), e["box"])), e["text"], kind, language, F.when(e["match"] == "estimated", "estimated position") if tagged else None)
-        return F.when(shown, F.transform(F.col(column), one)).otherwise(F.array().cast("array<string>"))
-
-    built = df.select("page_id", "_base", "_canvas", "source_relpath", "page_width", "page_height", "reading_order", "box_page_id", block.alias("b"), each("lines", "line").alias("l"), each("words", "word").alias("w"))
-    ordered = lambda c: F.transform(F.array_sort(F.collect_list(F.struct("reading_order", "box_page_id", c))), lambda s: s[c])
-    pages = built.groupBy("page_id", "_base", "_canvas", "source_relpath", "page_width", "page_height").agg(F.filter(ordered("b"), lambda x: x.isNotNull()).alias("b"), F.flatten(ordered("l")).alias("l"), F.flatten(ordered("w")).alias("w"), F.count("*").alias("n"))
+    # regions are collected as they are; what JSON is made of a page is made behind the grouping, so it is never sorted or spilled
+    region = F.struct("reading_order", "box_page_id", "class", "text", "suspect", "box", "lines", "words")
+    pages = regions.groupBy("page_id", "source_relpath", "page_width", "page_height").agg(F.collect_list(region).alias("_regions")).withColumn("_base", base).withColumn("_canvas", F.concat("_base", F.lit("/canvas/p1")))
+    shown = lambda r: F.coalesce(r["suspect"], F.lit("")) == ""
+    ident = lambda r, kind, *more: F.concat(F.col("_base"), F.lit(f"/annotation/{kind}/"), r["box_page_id"], *more)
+    target = lambda box: _quoted(xywh(F.col("_canvas"), box))
+
+    def block(r: Column) -> Column:
+        return F.when(shown(r) & (F.coalesce(r["text"], F.lit("")) != ""), annotation(ident(r, "block"), target(r["box"]), r["text"], "block", language, r["class"]))
+
+    def each(column: str, kind: str) -> Callable[[Column], Column]:
+        tagged = "match" in regions.schema[column].dataType.elementType.names
+        one = lambda r: lambda e, n: annotation(ident(r, kind, F.lit("-"), n.cast("string")), target(e["box"]), e["text"], kind, language, F.when(e["match"] == "estimated", "estimated position") if tagged else None)
+        return lambda r: F.when(shown(r), F.transform(r[column], one(r))).otherwise(F.array().cast("array<string>"))
+
+    def ordered(made: Callable[[Column], Column]) -> Column:
+        named = F.transform("_regions", lambda r: F.struct(r["reading_order"].alias("reading_order"), r["box_page_id"].alias("box_page_id"), made(r).alias("made")))
+        return F.transform(F.array_sort(named), lambda s: s["made"])
+
+    blocks, lines, words = F.filter(ordered(block), lambda x: x.isNotNull()), F.flatten(ordered(each("lines", "line"))), F.flatten(ordered(each("words", "word")))
+    pages = pages.select("page_id", "_base", "_canvas", "source_relpath", "page_width", "page_height", blocks.alias("b"), lines.alias("l"), words.alias("w"), F.size("_regions").alias("n"))
     refs = F.concat_ws(",", *[F.concat(F.lit('{"id":'), _quoted(F.concat("_base", F.lit(f"/annotations/{k}.json"))), F.lit(f',"type":"AnnotationPage","label":{{"en":["{k.capitalize()}"]}}}}')) for k in ("blocks", "lines", "words")])
     service = F.concat(F.lit(f"{image_base.rstrip('/')}/"), image_identifier(F.col("source_relpath"), slash))
     size = F.concat(F.lit(',"width":'), F.col("page_width").cast("string"), F.lit(',"height":'), F.col("page_height").cast("string"))

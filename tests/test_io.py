@@ -101,6 +101,14 @@ def test_iiif_documents_parse(spark, tmp_path):
     assert [f.text for f in found] == ["w", "v"] * 2 and found[0].b.w == 3
 
 
+def test_iiif_json_is_made_behind_the_grouping(spark):
+    """So that what a page's regions are sorted and spilled with is not their JSON."""
+    box = "struct<x int, y int, w int, h int>"
+    df = spark.createDataFrame([], f"page_id string, source_relpath string, page_width int, page_height int, box_page_id string, class string, reading_order int, text string, suspect string, box {box}, lines array<struct<text string, box {box}>>, words array<struct<text string, box {box}, match string>>")
+    plan = iiif.page_documents(df, "http://m/", "http://i")._jdf.queryExecution().analyzed().toString()
+    assert "to_json" in plan and "to_json" not in plan[plan.index("Aggregate [") :]
+
+
 def test_smallest_box(spark):
     hits = spark.createDataFrame([(1, 0, 5.0, 5.0)], "page_id int, hit int, cx double, cy double")
     boxes = spark.createDataFrame([(1, "page", 0.0, 0.0, 100.0, 100.0), (1, "word", 0.0, 0.0, 10.0, 10.0), (1, "far", 50.0, 50.0, 2.0, 2.0)], "page_id int, id string, x double, y double, w double, h double")
