@@ -105,3 +105,20 @@ def test_selectors(spark):
     df = spark.createDataFrame([("c#xywh=1,2,3,4", '<path d="M1,2 h3 v4 h-3 Z M5,6 h7 v8 h-7 Z"/>')], "t string, s string")
     r = df.select(search.parse_xywh(F.col("t")).alias("b"), search.parse_svg(F.col("s")).alias("p")).first()
     assert tuple(r.b) == ("c", 1, 2, 3, 4) and [tuple(x) for x in r.p] == [(1, 2, 3, 4), (5, 6, 7, 8)]
+
+
+def test_text_functions_hold_few_objects_at_a_time():
+    """Of an Arrow batch of 20 MB no more than a part is Python text at a time."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from pressmill.functions import text_udf
+
+    values = pa.array([None, "", "ﬁn"] + ["ſé" * 2500] * 2700)
+    tracemalloc.start()
+    got = text_udf.nfkc.func(values)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got.slice(0, 4).to_pylist() == [None, "", "fin", "sé" * 2500] and len(got) == len(values) and peak < 6e6
+    assert text_udf.nfkc.func(pa.array([], pa.string())).to_pylist() == []
