@@ -23,6 +23,7 @@ from .search import AFTER, BEFORE, HIT, find_phrase
 
 _DASHES = list("-‐‑¬–—")
 _LETTER = r"[\p{L}\p{N}]"
+WORDS = 1 << 15  # words of whole pages that a Python worker handles together
 PLACES = "page_id long, word int, next int, token string, cuts array<int>, fresh boolean"
 
 
@@ -70,8 +71,8 @@ def _tokens(page: np.ndarray, place: np.ndarray, w: pa.StructArray, match_case:
 def places(pages: DataFrame, match_case: bool = False) -> DataFrame:
     """PLACES of every token: page_id, the number of its first word and of the first one behind it, the folded token, the lengths of its words, whether it begins a region.
 
-    pages: page_id and words (ARRAY of structs text, region, x, y, w, h, in order). All words of an Arrow batch are handled
-    together, without an object for each.
+    pages: page_id and words (ARRAY of structs text, region, x, y, w, h, in order). The words of some pages of an Arrow batch
+    are handled together, without an object for each.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -79,9 +80,14 @@ def places(pages: DataFrame, match_case: bool = False) -> DataFrame:
             batch = batch.filter(pc.greater(pc.list_value_length(batch.column(1)), 0))
             if not batch.num_rows:
                 continue
-            size = np.asarray(pc.list_value_length(batch.column(1))).astype(np.int64)
-            words, page = batch.column(1).flatten(), np.repeat(np.asarray(batch.column(0)), size)
-            yield _tokens(page, np.arange(len(page)) - np.repeat(np.cumsum(size) - size, size), words, match_case)
+            sizes = np.asarray(pc.list_value_length(batch.column(1))).astype(np.int64)
+            sums, at = np.cumsum(sizes), 0
+            while at < len(sizes):  # whole pages of about WORDS words at a time
+                stop = max(at + 1, int(np.searchsorted(sums, (sums[at - 1] if at else 0) + WORDS, "right")))
+                size, part = sizes[at:stop], batch.slice(at, stop - at)
+                words, page = part.column(1).flatten(), np.repeat(np.asarray(part.column(0)), size)
+                yield _tokens(page, np.arange(len(page)) - np.repeat(np.cumsum(size) - size, size), words, match_case)
+                at = stop
 
     return pages.where("page_id is not null and words is not null").select(F.col("page_id").cast("long").alias("page_id"), "words").mapInArrow(run, PLACES)
 

@@ -59,3 +59,12 @@ def test_table_function(spark):
     words = spark.createDataFrame([(page, k, *w) for page, ws in rows for k, w in enumerate(ws)], "page_id long, at int, text string, region string, x double, y double, w double, h double")
     call = "SELECT * FROM find_phrase(TABLE({words}) PARTITION BY (page_id) ORDER BY (at), 'and the', false, true)"
     assert told(spark.sql(call, words=words.repartition(4))) == plain(rows, "and the", False, True)
+
+
+def test_places_are_the_same_however_many_words_are_handled_together(spark, monkeypatch):
+    word = "struct<text string, region string, x double, y double, w double, h double>"
+    rows = [(k, [(t, "r", float(10 * i), 0.0, 9.0, 9.0) for i, t in enumerate(["Ünder", "the-", "moon", ""][: k % 5])]) for k in range(40)]
+    pages = spark.createDataFrame(rows, f"page_id long, words array<{word}>").coalesce(1)
+    want = sorted(map(str, phrase_index.places(pages).collect()))
+    monkeypatch.setattr(phrase_index, "WORDS", 3)
+    assert sorted(map(str, phrase_index.places(pages).collect())) == want and len(want) == sum(len(w) for _, w in rows)
