@@ -14,12 +14,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text_udf import fold_search
 from ..sources.scratch import written
-from .search import AFTER, BEFORE, HIT, find_phrase
+from .search import AFTER, BEFORE, HIT, found_words, told_hit
 
 _DASHES = list("-‐‑¬–—")
 _LETTER = r"[\p{L}\p{N}]"
@@ -40,8 +40,8 @@ def _fold(texts: pa.Array, match_case: bool) -> pa.Array:
     return pc.replace_with_mask(low, pc.invert(plain), folded)
 
 
-def _tokens(page: np.ndarray, place: np.ndarray, w: pa.StructArray, match_case: bool) -> pa.RecordBatch:
-    """PLACES of the words w (page and place: the number of each word's page, and its number in it)."""
+def _pieces(page: np.ndarray, w: pa.StructArray, match_case: bool) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Folded words, whether each is in one region with the word behind it, and whether it is joined to it (page: the number of each word's page)."""
     n = len(w)
     column = lambda name: w.field(name)
     number = lambda name: np.asarray(pc.fill_null(column(name).cast(pa.float64()), 0.0))
@@ -55,7 +55,13 @@ def _tokens(page: np.ndarray, place: np.ndarray, w: pa.StructArray, match_case:
     joined[:-1] &= (x[1:] < x[:-1]) & (y[1:] > y[:-1] + h[:-1] / 2)
     if joined.any():
         texts = pc.replace_with_mask(texts, pa.array(joined), pc.utf8_slice_codeunits(texts.filter(pa.array(joined)), 0, -1))
-    pieces = _fold(texts, match_case)
+    return _fold(texts, match_case), together, joined
+
+
+def _tokens(page: np.ndarray, place: np.ndarray, w: pa.StructArray, match_case: bool) -> pa.RecordBatch:
+    """PLACES of the words w (page and place: the number of each word's page, and its number in it)."""
+    n = len(w)
+    pieces, together, joined = _pieces(page, w, match_case)
     first = np.flatnonzero(np.concatenate(([True], ~joined[:-1])))
     count = np.diff(np.append(first, n))
     tokens = pieces.take(pa.array(first))
@@ -187,24 +193,47 @@ def hits(pages: DataFrame, indexed: DataFrame, query: str, match_case: bool = Fa
     )
 
 
+_GAPS = pa.array(["", " ", "\n"])
+_BOX = pa.struct([(c, pa.float64()) for c in "xywh"])
+HITS = pa.schema([("page_id", pa.int64()), ("word", pa.int32()), ("n_words", pa.int32()), ("boxes", pa.list_(_BOX)), ("line_height", pa.float64()), ("snippet", pa.string())])  # HIT in Arrow
+
+
 class PhraseHits:
-    """A table function over one row for each word (page_id, at, text, region, x, y, w, h): called with a table that is partitioned by page_id and ordered by at, it gives the page's hits."""
+    """An Arrow table function over one row for each word (page_id, at, text, region, x, y, w, h): called with a table that is partitioned by page_id and ordered by at, it gives the page's hits.
+
+    A page's words stay in Arrow; objects are made of the words of hits alone.
+    """
 
     def __init__(self) -> None:
-        self.words: list[dict] = []
+        self.words: list[pa.StructArray] = []
         self.page: int | None = None
         self.call: tuple = ("", False, False)
 
-    def eval(self, word: Row, query: str, match_case: bool, whole_word: bool) -> Iterator[tuple]:
-        self.page, self.call = word["page_id"], (query, match_case, whole_word)
-        self.words.append(word.asDict())
+    def eval(self, words: pa.RecordBatch, query: pa.Array, match_case: pa.Array, whole_word: pa.Array) -> Iterator[pa.Table]:
+        self.page, self.call = words.column("page_id")[0].as_py(), (query[0].as_py(), match_case[0].as_py(), whole_word[0].as_py())
+        self.words.append(words.to_struct_array())
         return iter(())
 
-    def terminate(self) -> Iterator[tuple]:
-        for h in find_phrase(self.words, *self.call):
-            yield self.page, h["word"], h["n_words"], [dict(zip("xywh", map(float, b), strict=True)) for b in h["boxes"]], float(h["line_height"]), h["snippet"]
+    def terminate(self) -> Iterator[pa.Table]:
+        if not self.words:
+            return
+        words, (query, match_case, whole_word) = pa.concat_arrays(self.words), self.call
+        pieces, together, joined = _pieces(np.zeros(len(words), np.int8), words, match_case)
+        gap = np.where(joined, 0, np.where(together, 1, 2))
+        gap[-1] = 0
+        length = np.asarray(pc.utf8_length(pieces)).astype(np.int64)
+        ends = np.cumsum(length + (gap > 0)) - (gap > 0)
+        parts = pc.binary_join_element_wise(pieces, _GAPS.take(pa.array(gap)), "")
+        text = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(parts)], pa.int32()), parts), "")[0].as_py()
+        hits = []
+        for first, last in found_words(text, ends - length, ends, fold_search(query, match_case), whole_word):
+            own, low = words.slice(first, last - first).to_pylist(), max(0, first - BEFORE)
+            h = told_hit(first, own, words.field("text").slice(low, first + AFTER - low).to_pylist())
+            hits.append(h | {"page_id": self.page, "boxes": [dict(zip("xywh", map(float, b), strict=True)) for b in h["boxes"]], "line_height": float(h["line_height"])})
+        if hits:
+            yield pa.Table.from_pylist(hits, HITS)
 
 
 def register(spark: SparkSession, name: str = "find_phrase") -> None:
     """Make find_phrase(TABLE(words) PARTITION BY page_id ORDER BY at, query, match_case, whole_word) known to the session's SQL."""
-    spark.udtf.register(name, F.udtf(PhraseHits, returnType=HIT))
+    spark.udtf.register(name, F.arrow_udtf(PhraseHits, returnType=HIT))

@@ -49,24 +49,30 @@ def line_boxes(boxes: Sequence[tuple[float, float, float, float]]) -> list[tuple
     return out
 
 
-def find_phrase(words: Sequence[dict], query: str, match_case: bool = False, whole_word: bool = False) -> list[dict]:
-    """Hits of a phrase: first word, number of words, boxes by line, line height, snippet. Hits don't overlap."""
-    needle = fold_search(query, match_case)
-    text, starts, ends = search_text(words, match_case)
-    hits, at = [], text.find(needle) if needle else -1
+def found_words(text: str, starts: np.ndarray, ends: np.ndarray, needle: str, whole_word: bool = False) -> Iterator[tuple[int, int]]:
+    """First word and the one behind the last of each hit of a folded phrase in a search text. Hits don't overlap."""
+    at = text.find(needle) if needle else -1
     while at >= 0:
         stop = at + len(needle)
         if whole_word and (_WORD.match(text[at - 1 : at] or " ") or _WORD.match(text[stop : stop + 1] or " ")):
             at = text.find(needle, at + 1)
             continue
         first, last = int(np.searchsorted(ends, at, "right")), int(np.searchsorted(starts, stop - 1, "right"))
-        found = words[first:last]
-        if found:
-            heights = sorted(w["h"] for w in found)
-            snippet = " ".join(w["text"] for w in words[max(0, first - BEFORE) : first + AFTER])
-            hits.append({"word": first, "n_words": len(found), "boxes": line_boxes([(w["x"], w["y"], w["w"], w["h"]) for w in found]), "line_height": heights[len(heights) // 2], "snippet": snippet})
+        if first < last:
+            yield first, last
         at = text.find(needle, stop)
-    return hits
+
+
+def told_hit(first: int, found: Sequence[dict], around: Sequence[str]) -> dict:
+    """A hit from its words and the texts of those around it."""
+    heights = sorted(w["h"] for w in found)
+    return {"word": first, "n_words": len(found), "boxes": line_boxes([(w["x"], w["y"], w["w"], w["h"]) for w in found]), "line_height": heights[len(heights) // 2], "snippet": " ".join(around)}
+
+
+def find_phrase(words: Sequence[dict], query: str, match_case: bool = False, whole_word: bool = False) -> list[dict]:
+    """Hits of a phrase: first word, number of words, boxes by line, line height, snippet. Hits don't overlap."""
+    found = found_words(*search_text(words, match_case), fold_search(query, match_case), whole_word)
+    return [told_hit(first, words[first:last], [w["text"] for w in words[max(0, first - BEFORE) : first + AFTER]]) for first, last in found]
 
 
 HIT = "page_id long, word int, n_words int, boxes array<struct<x double, y double, w double, h double>>, line_height double, snippet string"

@@ -2,6 +2,7 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 
 from pressmill.operators import phrase_index, search
@@ -61,6 +62,17 @@ def test_table_function(spark):
     assert told(spark.sql(call, words=words.repartition(4))) == plain(rows, "and the", False, True)
 
 
+def test_table_function_gets_words_as_arrow_batches(spark):
+    rows = [(1, [(t, "B0", 10.0 * k, 0.0, 9.0, 9.0) for k, t in enumerate(["Sand", "and", "the", "été", "and", "THE"] * 5000)])]  # a page of several batches
+    words = pa.RecordBatch.from_pylist([dict(zip(("page_id", "at", "text", "region", "x", "y", "w", "h"), (page, k, *w), strict=True)) for page, ws in rows for k, w in enumerate(ws)])
+    call, found = [pa.array(["and the"]), pa.array([False]), pa.array([True])], phrase_index.PhraseHits()
+    for at in range(0, len(words), 10_000):
+        assert not list(found.eval(words.slice(at, 10_000), *call))
+    told_rows = [h for t in found.terminate() for h in t.to_pylist()]
+    got = [(h["page_id"], h["word"], h["n_words"], tuple(tuple(b.values()) for b in h["boxes"]), h["line_height"], h["snippet"]) for h in told_rows]
+    assert got == plain(rows, "and the", False, True) and len(got) == 10_000 and not list(phrase_index.PhraseHits().terminate())
+
+
 def test_places_are_the_same_however_many_words_are_handled_together(spark, monkeypatch):
     word = "struct<text string, region string, x double, y double, w double, h double>"
     rows = [(k, [(t, "r", float(10 * i), 0.0, 9.0, 9.0) for i, t in enumerate(["Ünder", "the-", "moon", ""][: k % 5])]) for k in range(40)]
