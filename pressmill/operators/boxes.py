@@ -53,9 +53,14 @@ def clamp(df: DataFrame, width: Column, height: Column, least: int = 2) -> DataF
     return inside.where((F.col("x2") - F.col("x1") >= least) & (F.col("y2") - F.col("y1") >= least))
 
 
-def box_metrics(df: DataFrame) -> DataFrame:
-    """width, height, ratio, center_x, center_y, median_box_width (of text boxes), print area and column counts."""
+def box_metrics(df: DataFrame, key: list[str] | None = None) -> DataFrame:
+    """width, height, ratio, center_x, center_y, median_box_width (of text boxes), print area and column counts.
+
+    With a key the boxes of a page are sorted by bottom edge and key at once, which page_blocks needs, and not by page first.
+    """
     df = df.withColumns({"width": F.expr("x2 - x1"), "height": F.expr("y2 - y1")}).withColumns({"ratio": F.expr("height / width"), "center_x": F.expr("width + x1"), "center_y": F.expr("height + y1")})
+    if key:
+        df = df.repartition("page_id").sortWithinPartitions("page_id", "center_y", *key)
     df = print_area(df.withColumn("median_box_width", F.median(F.when(F.col("class") == "text", F.col("width"))).over(page())))
     return df.withColumn("column_counts", F.coalesce(F.floor(F.col("print_width") / F.col("median_box_width")), F.lit(1))).withColumn("column_width", F.col("print_width") / F.col("column_counts"))
 
@@ -121,15 +126,36 @@ def adjust_sides(df: DataFrame) -> DataFrame:
 
 
 def fill_column_gaps(df: DataFrame) -> DataFrame:
-    """On pages of several columns and one block: text boxes above a column's first and below its last box; reading_order -1 marks them."""
-    w = page()
-    marked = df.withColumns({"_cols": F.max("column_number").over(w), "_low": F.min("page_block").over(w), "_high": F.max("page_block").over(w), "_top": F.min("y1").over(w), "_bottom": F.max("y2").over(w)})
-    box = F.struct("x1", "x2", "y1", "y2", "page_block", "c1", "c2")
-    ends = marked.where("_cols > 1 and _low = _high and column_number > 0").groupBy("page_id", "column_number", "_top", "_bottom").agg(F.min_by(box, "reading_order").alias("first"), F.max_by(box, "reading_order").alias("last"))
-    new = lambda side, y1, y2: ends.select("page_id", "column_number", F.lit("text").alias("class"), F.col(f"{side}.x1").alias("x1"), F.expr(y1).alias("y1"), F.col(f"{side}.x2").alias("x2"), F.expr(y2).alias("y2"), F.col(f"{side}.page_block").alias("page_block"), F.col(f"{side}.c1").alias("c1"), F.col(f"{side}.c2").alias("c2"), F.lit(-1).alias("reading_order"))
-    above = new("first", "_top", "first.y1").where("y2 > y1")
-    below = new("last", "last.y2", "_bottom").where("y1 < y2")
-    return df.unionByName(above.unionByName(below), allowMissingColumns=True)
+    """On pages of several columns and one block: text boxes above a column's first and below its last box; reading_order -1 marks them.
+
+    Boxes that begin or end a column with a gap are told twice or three times over, so the boxes are worked out once.
+    """
+    return _told_with_gaps(_gaps(df), F.array_insert("_gaps", 1, F.lit("box")), df.columns)
+
+
+def column_gaps(df: DataFrame) -> DataFrame:
+    """The boxes that fill_column_gaps adds, alone."""
+    return _told_with_gaps(_gaps(df, alone=True), F.col("_gaps"), df.columns)
+
+
+def _gaps(df: DataFrame, alone: bool = False) -> DataFrame:
+    """_top and _bottom of a box's page, and _gaps: 'above' and 'below' where a text box fits between them and the box. alone: only boxes that may have gaps."""
+    w, column = page(), Window.partitionBy("page_id", "column_number").orderBy("reading_order")
+    df = df.withColumns({"_cols": F.max("column_number").over(w), "_low": F.min("page_block").over(w), "_high": F.max("page_block").over(w), "_top": F.min("y1").over(w), "_bottom": F.max("y2").over(w)})
+    may = (F.col("_cols") > 1) & (F.col("_low") == F.col("_high")) & (F.col("column_number") > 0)
+    df = (df.where(may) if alone else df.withColumn("_may", may)).drop("_cols", "_low", "_high")
+    may = F.lit(True) if alone else F.col("_may")
+    ends = {"above": F.lag(F.lit(1)).over(column).isNull() & (F.col("y1") > F.col("_top")), "below": F.lead(F.lit(1)).over(column).isNull() & (F.col("y2") < F.col("_bottom"))}
+    return df.withColumn("_gaps", F.array_compact(F.array(*[F.when(may & at_end, side) for side, at_end in ends.items()])))
+
+
+def _told_with_gaps(df: DataFrame, told: Column, columns: list[str]) -> DataFrame:
+    """A row for each entry of `told`: the box itself, or a text box above or below it."""
+    df = df.withColumn("_told", F.explode(told))
+    own, above = F.col("_told") == "box", F.col("_told") == "above"
+    new = {"class": F.lit("text"), "y1": F.when(above, F.col("_top")).otherwise(F.col("y2")), "y2": F.when(above, F.col("y1")).otherwise(F.col("_bottom")), "reading_order": F.lit(-1)}
+    new |= {c: F.col(c) for c in ("page_id", "column_number", "x1", "x2", "page_block", "c1", "c2")}
+    return df.select(*[F.when(own, F.col(c)).otherwise(new.get(c)).alias(c) for c in columns])
 
 
 def merge_column_boxes(df: DataFrame, multiplier: float = 1.5) -> DataFrame:

@@ -41,7 +41,7 @@ adjusted AS (SELECT * EXCLUDE (x1, x2), CASE WHEN class = 'figure' THEN x1 ELSE
 
 
 def _columns(spark, d):
-    return B.assign_columns(B.box_metrics(boxes(spark, d)))
+    return B.assign_columns(B.box_metrics(boxes(spark, d), KEY))
 
 
 def _ordered(spark, d):
@@ -113,7 +113,7 @@ ADJUST_EDGES = f"WITH {ADJUSTED} SELECT {K}, page_id, round(x1, 6) AS x1, round(
 
 def fill_column_gaps(spark, d):
     some = _adjusted(spark, d).where("not (class = 'title' and column_number = 0)").withColumn("page_block", F.lit(0))
-    return B.fill_column_gaps(some).where("reading_order = -1").select("page_id", "column_number", "class", *_near("x1", "y1", "x2", "y2"))
+    return B.column_gaps(some).select("page_id", "column_number", "class", *_near("x1", "y1", "x2", "y2"))
 
 
 FILL_COLUMN_GAPS = f"""WITH {ADJUSTED}, part AS (SELECT *, max(column_number) OVER (PARTITION BY page_id) AS cols, min(y1) OVER (PARTITION BY page_id) AS top, max(y2) OVER (PARTITION BY page_id) AS bottom FROM adjusted WHERE NOT (class = 'title' AND column_number = 0)),
