@@ -258,7 +258,7 @@ def interval_clusters(df: DataFrame, group: str, start: str, stop: str, key: lis
 
 def postprocess(df: DataFrame, key: list[str], min_height: float = 10, multiplier: float = 1.5, drop_abandon: bool = True, fill: bool = True) -> DataFrame:
     """The whole chain from raw detections to numbered boxes. Column counts come from the print area with 'abandon' boxes, column bins from the one without."""
-    df = box_metrics(df)
+    df = box_metrics(df, key)
     df = abandon_line(df)
     if drop_abandon:
         df = df.where("class != 'abandon'")
